@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import leakage, near_duplicates, repetition, tokenizing
+from . import leakage, lookalikes, near_duplicates, repetition, shared_spans, splitting, tokenizing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +21,14 @@ def _documents(s: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "p1_found": lambda s, d: splitting.oversized(_chunks(s, d)),
+    "p1_pieces": lambda s, d: splitting.split_oversized(_chunks(s, d)),
+    "p2_found": lambda s, d: shared_spans.sharing_pairs(_chunks(s, d)),
+    "p2_records": lambda s, d: shared_spans.shared_per_record(_chunks(s, d)),
     "p3_found": lambda s, d: near_duplicates.similar_pairs(_chunks(s, d)),
     "p3_groups": lambda s, d: near_duplicates.near_duplicate_groups(_chunks(s, d)),
+    "p4_found": lambda s, d: lookalikes.lookalike_pairs(_chunks(s, d)),
+    "p4_canonical": lambda s, d: lookalikes.canonical_texts(_chunks(s, d)),
     "p7_ids": lambda s, d: tokenizing.encode(_documents(s, d)),
     "p8_found": lambda s, d: leakage.leaked_pairs(_documents(s, d), table(s, d, "eval_items")),
     "p8_leaks": lambda s, d: leakage.leaks(_documents(s, d), table(s, d, "eval_items")),
@@ -35,6 +41,12 @@ QUERIES: dict[str, Query] = {
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{M}}\p{{N}}]+')"
 
 ORACLES: dict[str, str] = {
+    "p1_found": "SELECT DISTINCT id FROM chunks WHERE length(content) > 1800",
+    "p2_found": """
+        WITH r AS (SELECT DISTINCT id, content FROM chunks WHERE id IS NOT NULL AND length(content) >= 200),
+        g AS (SELECT DISTINCT id, hash(x) AS h, x FROM (SELECT id, unnest(list_transform(range(1, length(content) - 198), lambda i: substr(content, i, 200))) AS x FROM r)),
+        s AS (SELECT h, x FROM g GROUP BY ALL HAVING count(*) > 1), m AS (SELECT id, h, x FROM g SEMI JOIN s USING (h, x))
+        SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM m a JOIN m b ON a.h = b.h AND a.x = b.x AND a.id < b.id""",
     "p3_found": r"""
         WITH r AS (SELECT DISTINCT id, content FROM chunks WHERE id IS NOT NULL AND content IS NOT NULL),
         w AS (SELECT id, regexp_extract_all(content, '[^ \t\n]+') AS w FROM r),

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame

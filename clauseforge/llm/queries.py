@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import leakage, lookalikes, near_duplicates, repetition, shared_spans, splitting, tokenizing
+from . import leakage, lookalikes, markup, near_duplicates, repetition, shared_spans, splitting, tokenizing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,8 @@ QUERIES: dict[str, Query] = {
     "p3_groups": lambda s, d: near_duplicates.near_duplicate_groups(_chunks(s, d)),
     "p4_found": lambda s, d: lookalikes.lookalike_pairs(_chunks(s, d)),
     "p4_canonical": lambda s, d: lookalikes.canonical_texts(_chunks(s, d)),
+    "p6_found": lambda s, d: markup.clean_records(_chunks(s, d)).select("id"),
+    "p6_clean": lambda s, d: markup.clean_records(_chunks(s, d)),
     "p7_ids": lambda s, d: tokenizing.encode(_documents(s, d)),
     "p8_found": lambda s, d: leakage.leaked_pairs(_documents(s, d), table(s, d, "eval_items")),
     "p8_leaks": lambda s, d: leakage.leaks(_documents(s, d), table(s, d, "eval_items")),

@@ -69,8 +69,13 @@ def upsert(corpus: DataFrame, sightings: DataFrame, now: str, as_of_year: int) -
         source = source.withField(field, F.col(f"__new.{field}"))
     source = source.withField("last_seen", F.lit(now))
     kept = moved.withColumn("_source", F.when(F.col("__id").isNotNull(), source).otherwise(F.col("_source"))).drop("__id", "__new")
+    # The first sighting of a new id is classified; what later ones renew is renewed below.
     once = first_by(fresh, ["liferay_id"], [F.col("pos")])
-    made = with_slugs(classify.to_records(once, F.lit(now), as_of_year), corpus.select("slug"))
+    made = classify.to_records(once, F.lit(now), as_of_year).join(last, F.col("_source.liferay_id") == last["__id"])
+    renewed = F.col("_source")
+    for field in VOLATILE:
+        renewed = renewed.withField(field, F.col(f"__new.{field}"))
+    made = with_slugs(made.withColumn("_source", renewed).drop("__id", "__new"), corpus.select("slug"))
     top = corpus.agg(F.coalesce(F.max("pos"), F.lit(-1)).alias("__top"))
     placed = made.join(F.broadcast(top)).withColumn("pos", (F.col("pos") + F.col("__top") + 1).cast("bigint")).drop("__top")  # a single row
     return kept.unionByName(placed.select(*kept.columns)), placed

@@ -4,32 +4,248 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-from ..operators import orphans
-from ..session import table
+from ..functions import text as X
+from ..operators import audit, chunking, classify, corpus, embedding, grammar, lineage, orphans, relations, resolution, segmentation
+from ..session import checkpoint_dir, table
+from ..sources import files
+from ..streaming import listing as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
+AS_OF = 2026
+NOW = "2026-07-01T00:00:00+00:00"
+
+
+def current_docs(s: SparkSession, d: str) -> DataFrame:
+    """One record per slug, the one seen last, with ``pos`` as its order."""
+    docs = table(s, d, "docs")
+    rank = F.struct(orphans.iso_micros(F.col("_source.last_seen")).alias("t"), F.col("pos").alias("p"))
+    return docs.groupBy("slug").agg(F.max_by(F.struct(*[c for c in docs.columns if c != "slug"]), rank).alias("r")).select("slug", "r.*")
+
+
+def records(s: SparkSession, d: str) -> DataFrame:
+    """Chunks without second deliveries."""
+    return table(s, d, "chunks").groupBy("id").agg(F.max_by(F.struct("doc_id", "chunk_index", "heading", "attachment", "content"), "loaded_at").alias("r")).select("id", "r.*")
+
+
+def sightings(s: SparkSession, d: str) -> DataFrame:
+    """Listing rows in order of scanning, with ids for those that have none."""
+    rows = corpus.with_surrogate_ids(table(s, d, "listing_rows"))
+    return rows.withColumn("pos", F.row_number().over(W.partitionBy("liferay_id").orderBy("scanned_at", "title", "date_issued", "reference_no")).cast("bigint"))
+
+
+def chunk_windows(s: SparkSession, d: str, snap: bool) -> DataFrame:
+    docs = table(s, d, "documents").filter("text IS NOT NULL").select("doc_id", X.strip(F.col("text")).alias("body"))
+    return docs.select("doc_id", F.posexplode(chunking.windows(F.col("body"), snap=snap)).alias("part", "content"))
+
+
+def chunk_ids(s: SparkSession, d: str) -> DataFrame:
+    numbered = chunk_windows(s, d, True)
+    return numbered.select("doc_id", "part", X.sha1_id(F.col("doc_id").cast("string"), F.col("part").cast("string"), F.col("content")).alias("id"), (X.devanagari_share(F.col("content")) < chunking.HINDI_GATE).alias("embeddable"))
+
+
+def full_chunks(s: SparkSession, d: str) -> DataFrame:
+    docs = table(s, d, "documents").filter("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("doc"), "text")
+    return chunking.number_chunks(chunking.chunk_texts(docs, "doc", "text"))
+
+
+def reassembled(s: SparkSession, d: str) -> DataFrame:
+    out = chunking.reassemble(_one_per_index(records(s, d)))
+    return out.select("doc_id", "attachment", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def _one_per_index(rows: DataFrame) -> DataFrame:
+    rank = F.struct("id")
+    return rows.groupBy("doc_id", "attachment", "chunk_index").agg(F.min_by("content", rank).alias("content"))
+
+
+def titles_of_amendments(s: SparkSession, d: str) -> DataFrame:
+    docs = current_docs(s, d).select("slug", "pos", "title", "type")
+    amending = docs.filter(classify.is_amendment(F.col("type"), F.col("title")))
+    wanted = amending.select(F.col("slug").alias("doc_id"), resolution.stripped_title(F.col("title")).alias("title"), F.col("slug").alias("self"))
+    rest = docs.filter(~classify.is_amendment(F.col("type"), F.col("title")))
+    return resolution.resolve(wanted, rest, ["doc_id"]).select("doc_id", "slug", F.bround("score", 6).alias("score"))
+
+
+def title_variants(s: SparkSession, d: str) -> DataFrame:
+    docs = current_docs(s, d).select("slug", "pos", "title", "type")
+    return resolution.text_variants(docs.select("slug", F.lit("").alias("amendment")), docs, docs.select("slug", F.lit("x").alias("text")))
+
+
+def _text_of_docs(s: SparkSession, d: str) -> DataFrame:
+    """A text for each document: its texts one after the other."""
+    texts = table(s, d, "documents").filter("slug IS NOT NULL AND text IS NOT NULL")
+    return texts.groupBy("slug").agg(F.max_by("text", "doc_id").alias("text"))
+
+
+def build(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return lineage.build(current_docs(s, d).select("slug", "pos", "type", "title", "dateIssued"), _text_of_docs(s, d))
+
+
+def provisions(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "provisions").distinct()
+
+
+def events(s: SparkSession, d: str) -> DataFrame:
+    return provisions(s, d).select("doc", "id", "seq", F.posexplode("events").alias("n", "e")).select("doc", "id", "seq", "n", "e.action", F.col("e.doc").alias("source"), "e.date", "e.detail", "e.verified")
+
+
+def event_dedup(s: SparkSession, d: str) -> DataFrame:
+    kept = events(s, d).groupBy("id", "action", "source", "detail").agg(F.min_by(F.struct("n", "date", "verified"), "n").alias("r"))
+    return kept.select("id", "action", "source", "detail", F.col("r.n").alias("n"), F.col("r.date").alias("date"), F.col("r.verified").alias("verified"))
+
+
+def identities(s: SparkSession, d: str) -> DataFrame:
+    rows = provisions(s, d).select(F.col("doc").alias("doc_id"), "seq", "id", "level", "ref", "heading", "path", "text")
+    return segmentation.once_per_identity(rows).select("doc_id", "seq", "level", "ref", "path")
+
+
+def cutoffs(s: SparkSession, d: str) -> DataFrame:
+    dates = events(s, d).select("doc", "date").union(provisions(s, d).select("doc", "introducedOn")).filter("coalesce(date, '') <> ''").distinct()
+    return dates.groupBy("doc").agg(F.array_join(F.array_sort(F.collect_set("date")), ",").alias("cutoffs"))
+
+
+def _order_lines(s: SparkSession, d: str, line: Column) -> DataFrame:
+    """A document per order with one instruction per line item."""
+    items = table(s, d, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", line.alias("t")).alias("x"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "\n")
+    return items.groupBy(F.col("l_orderkey").alias("doc_id")).agg(text.alias("text"))
+
+
+def _edges(df: DataFrame, *columns: str) -> DataFrame:
+    rows = grammar.explode_edges(grammar.parse_amendments(df))
+    return rows.select("doc_id", F.col("line_no").alias("n"), *columns)
+
+
+def grammar_unit_sub(s: SparkSession, d: str) -> DataFrame:
+    line = F.format_string("For clause %d of regulation %d, the following shall be substituted", F.col("l_linenumber"), F.col("l_partkey"))
+    return _edges(_order_lines(s, d, line), "action", "level", "unit", "target_ref", "path", "confidence")
+
+
+def grammar_words(s: SparkSession, d: str) -> DataFrame:
+    line = F.format_string("In regulation %d, for the words “part %d”, the words “supplier %d” shall be substituted", F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"))
+    return _edges(_order_lines(s, d, line), "action", "level", F.array_join("old", "|").alias("old"), "new", "scope", "confidence")
+
+
+def grammar_omit(s: SparkSession, d: str) -> DataFrame:
+    line = F.format_string("Clauses (%s) and %d shall be omitted; after section %d, the following shall be inserted", F.lit("a"), F.col("l_linenumber"), F.col("l_partkey"))
+    return _edges(_order_lines(s, d, line), "action", "unit", F.coalesce("target_ref", "anchor").alias("ref"), "confidence")
+
+
+def grammar_scope(s: SparkSession, d: str) -> DataFrame:
+    head = F.format_string("%d. In Part II of the Schedule %s of principal Regulations:\n", F.col("l_linenumber"), F.when(F.col("l_returnflag") == "R", "I").otherwise("V"))
+    line = F.concat(head, F.format_string("clause %d shall be omitted", F.col("l_suppkey")))
+    return _edges(_order_lines(s, d, line), "action", "target_ref", "scope", "confidence")
+
+
+def grammar_pairs(s: SparkSession, d: str) -> DataFrame:
+    line = F.format_string("the words “a%d” and “b%d” shall be substituted with “c%d” and “d%d” respectively", *[F.col("l_linenumber")] * 2, *[F.col("l_suppkey")] * 2)
+    return _edges(_order_lines(s, d, line), "action", F.array_join("old", "|").alias("old"), "new", "paired", "confidence")
+
+
+def segments(s: SparkSession, d: str) -> DataFrame:
+    line = F.format_string("%d. Heading of part %d\n(%d) first clause\n(a) its subclause\nand more", F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"))
+    docs = _order_lines(s, d, line).withColumn("text", F.concat(F.lit("Chapter II – General\n"), "text")).withColumn("doc_id", F.col("doc_id").cast("string"))
+    return segmentation.segment(docs).select("doc_id", "seq", "id", "level", "ref", "heading", "text")
+
+
+def _parsed_documents(s: SparkSession, d: str) -> DataFrame:
+    return grammar.explode_edges(grammar.parse_amendments(table(s, d, "documents").filter("text IS NOT NULL"), "doc_id", "text"))
+
+
+def upserted(s: SparkSession, d: str) -> DataFrame:
+    """The listing's sightings put into the corpus of current documents: new and renewed records by type."""
+    snapshot, _ = corpus.upsert(current_docs(s, d), sightings(s, d), NOW, AS_OF)
+    return snapshot.groupBy("type").agg(F.count("*").alias("docs"), F.sum((F.col("_source.last_seen") == NOW).cast("long")).alias("seen"), F.sum((F.col("_source.first_seen") == NOW).cast("long")).alias("made"))
+
+
+def streamed(s: SparkSession, d: str) -> DataFrame:
+    """The same through the stream, in one micro-batch, from an empty corpus: ids and their newest links."""
+    import uuid
+
+    base = f"{checkpoint_dir(s)}/stream-{uuid.uuid4().hex}"
+    store = stream.SnapshotStore(s, f"{base}/store")
+    path = f"{d}/listing_rows.parquet"
+    query = stream.start(s, path if not _is_file(s, path) else _folder_with(s, path, base), store, f"{base}/offsets", NOW, AS_OF)
+    query.awaitTermination()
+    return store.current().select(F.col("_source.liferay_id").alias("liferay_id"), F.array_join("_source.pdf_links", " ").alias("links"))
+
+
+def _is_file(s: SparkSession, path: str) -> bool:
+    p = s.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(s.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
+
+
+def _folder_with(s: SparkSession, path: str, base: str) -> str:
+    """A stream reads folders: a single file is written once more into one."""
+    s.read.parquet(path).write.parquet(f"{base}/in")
+    return f"{base}/in"
+
 
 QUERIES: dict[str, Query] = {
     "p5_found": lambda s, d: orphans.orphan_references(table(s, d, "docs"), table(s, d, "provisions")),
     "p5_report": lambda s, d: orphans.orphan_report(orphans.orphan_references(table(s, d, "docs"), table(s, d, "provisions"))),
-}
-
-_ORPHANS = r"""
-    d AS (SELECT lower(regexp_replace(slug, '^\s+|\s+$', '', 'g')) AS k, slug, status, relations, pos,
-                 (_source.last_seen)::TIMESTAMPTZ AS last, (_source.first_seen)::TIMESTAMPTZ AS first FROM docs),
-    r AS (SELECT * FROM d WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY k ORDER BY last DESC NULLS LAST, pos DESC) = 1),
-    e AS (SELECT slug, last, unnest(map_entries(relations)) AS e FROM r),
-    p AS (SELECT id, built_at::TIMESTAMP AS ts, doc, events FROM provisions),
-    f AS (SELECT 'docs' AS src_table, slug AS src_key, 'relations.' || e.key AS field, unnest(e.value) AS t, last AT TIME ZONE 'UTC' AS ts FROM e
-          UNION ALL SELECT 'provisions', id, 'doc', doc, ts FROM p
-          UNION ALL SELECT 'provisions', id, 'events.doc', x.doc, ts FROM (SELECT id, ts, unnest(events) AS x FROM p)),
-    n AS (SELECT src_table, src_key, field, lower(regexp_replace(t, '^\s+|\s+$', '', 'g')) AS ref_slug, ts FROM f),
-    o AS (SELECT DISTINCT src_table, src_key, field, ref_slug, strftime(ts, '%Y-%m') AS period FROM n LEFT JOIN r ON r.k = ref_slug
-          WHERE ref_slug <> '' AND (r.k IS NULL OR r.status = 'Deleted' OR (r.first AT TIME ZONE 'UTC') > ts))"""
-
-ORACLES: dict[str, str] = {
-    "p5_found": f"WITH {_ORPHANS} SELECT * FROM o",
-    "p5_report": f"WITH {_ORPHANS} SELECT src_table, period, count(*) AS orphans, count(DISTINCT ref_slug) AS slugs FROM o GROUP BY ALL",
-}
+    "q_chunk_windows": lambda s, d: chunk_windows(s, d, False),
+    "q_chunk_snap": lambda s, d: chunk_windows(s, d, True),
+    "q_chunk_ids": chunk_ids,
+    "q_chunk_full": full_chunks,
+    "q_reassemble": reassembled,
+    "q_script_gate": lambda s, d: table(s, d, "documents").filter("text IS NOT NULL").select(
+        "doc_id", F.bround(X.devanagari_share(F.col("text")), 6).alias("share"), F.bround(X.latin_ratio(F.col("text")), 6).alias("latin"), X.mostly_devanagari(F.col("text")).alias("mostly")
+    ),
+    "q_drop_hindi_lines": lambda s, d: table(s, d, "documents").filter("text IS NOT NULL").select("doc_id", F.md5(X.drop_devanagari_lines(F.col("text"))).alias("digest")),
+    "q_normalized_text": lambda s, d: table(s, d, "documents").filter("text IS NOT NULL").select("doc_id", F.md5(X.normalize_extracted(F.col("text"))).alias("digest")),
+    "q_best_title": lambda s, d: table(s, d, "listing_rows").filter("title IS NOT NULL").select("title", X.best_title(F.split("title", " / ")).alias("best")).distinct(),
+    "q_slugs": lambda s, d: current_docs(s, d).select("slug", classify.base_slug(F.col("type"), F.col("title"), F.col("year")).alias("base")),
+    "q_references": lambda s, d: table(s, d, "listing_rows").select("reference_no", X.compact_ref(F.col("reference_no")).alias("compact"), X.ref_department(F.col("reference_no")).alias("dept"), X.ref_year(F.col("reference_no")).cast("string").alias("year")).distinct(),
+    "q_clause_refs": lambda s, d: provisions(s, d).select("ref", X.clause_ref(F.col("ref")).alias("norm")).distinct(),
+    "q_dates": lambda s, d: table(s, d, "listing_rows").select("date_issued", X.parse_date(F.col("date_issued")).alias("parsed"), X.safe_date(F.col("date_issued")).cast("string").alias("safe")).distinct(),
+    "q_surrogate_ids": lambda s, d: corpus.with_surrogate_ids(table(s, d, "listing_rows")).select("liferay_id", "category").distinct(),
+    "q_classify": lambda s, d: table(s, d, "listing_rows").select(
+        "title", "category", classify.document_type(F.col("category"), F.col("title")).alias("type"), classify.entity(F.col("title"))["entity"].alias("entity"),
+        classify.entity(F.col("title"))["subtype"].alias("subtype"), classify.is_amendment(F.col("category"), F.col("title")).alias("amends"), classify.is_audited(F.col("title")).alias("audited"),
+    ).distinct(),
+    "q_latest_sighting": lambda s, d: corpus.latest_by(sightings(s, d).select("liferay_id", "pos", F.array_join("pdf_links", " ").alias("links")), ["liferay_id"], [F.col("pos")]),
+    "q_first_last_seen": lambda s, d: sightings(s, d).groupBy("liferay_id").agg(F.min("scanned_at").cast("string").alias("first"), F.max("scanned_at").cast("string").alias("last"), F.count("*").alias("n")),
+    "q_upsert": upserted,
+    "q_stream_upsert": streamed,
+    "q_migrate": lambda s, d: classify.migrate(current_docs(s, d)).groupBy("status").agg(F.count("*").alias("docs"), F.sum(F.size("maintenance").cast("long")).alias("marks")),
+    "q_title_tokens": lambda s, d: current_docs(s, d).select("slug", F.array_join(X.title_tokens(F.col("title")), " ").alias("tokens")),
+    "q_resolve_titles": titles_of_amendments,
+    "q_title_variants": title_variants,
+    "q_relations": lambda s, d: relations.mine(current_docs(s, d))[0],
+    "q_relations_open": lambda s, d: relations.mine(current_docs(s, d))[1],
+    "q_pending": lambda s, d: corpus.pending(current_docs(s, d), table(s, d, "documents").select("slug", F.when(F.length("text") > 0, F.sha1("text")).alias("content_sha1"))).select("slug"),
+    "q_chunks_of_known": lambda s, d: records(s, d).join(current_docs(s, d).filter("status <> 'Deleted'").select(F.col("slug").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.count("*").alias("chunks")),
+    "q_top_provisions": lambda s, d: provisions(s, d).withColumn("rank", F.row_number().over(W.partitionBy("doc").orderBy("seq", "id"))).filter("rank <= 10").select("doc", "id", "rank"),
+    "q_cutoffs": cutoffs,
+    "q_event_counts": lambda s, d: events(s, d).groupBy("action", "verified").agg(F.count("*").alias("events"), F.countDistinct("id").alias("provisions")),
+    "q_event_dedup": event_dedup,
+    "q_identities": identities,
+    "q_amendment_totals": lambda s, d: table(s, d, "amendments").distinct().groupBy("lineage").agg(F.count("*").alias("amendments"), F.sum("edges").alias("edges"), F.sum("applied").alias("applied"), F.sum("unresolved").alias("unresolved"), F.sum("unparsed").alias("unparsed"), F.max("date").alias("last")),
+    "q_grammar_unit_sub": grammar_unit_sub,
+    "q_grammar_words": grammar_words,
+    "q_grammar_omit_insert": grammar_omit,
+    "q_grammar_scope": grammar_scope,
+    "q_grammar_pairs": grammar_pairs,
+    "q_grammar_edges": _parsed_documents,
+    "q_segments": segments,
+    "q_edge_dedup": lambda s, d: audit.once_per_edge(_parsed_documents(s, d), ["doc_id"], ["line_no", "edge_no"]).groupBy("rule", "action", "level", "confidence").agg(F.count("*").alias("edges")),
+    "q_lineages": lambda s, d: lineage.flatten_provisions(build(s, d)[0]),
+    "q_lineage_notes": lambda s, d: build(s, d)[1],
+    "q_lineage_stats": lambda s, d: build(s, d)[2],
+    "q_audit": lambda s, d: audit.audit(current_docs(s, d), records(s, d)).drop("edge_list"),
+    "q_audit_summary": lambda s, d: audit.summary(audit.audit(current_docs(s, d), records(s, d))),
+    "q_log_rows": lambda s, d: files.log_rows(current_docs(s, d), NOW).select("id", "slug", "type", "title", "dept", "year", "date_issued", "attachments", "pdf_links"),
+    "q_payloads": lambda s, d: files.payloads(
+        current_docs(s, d).select("slug", "title", F.lit("text").alias("extraction_method"), F.lit(1).alias("page_count"), F.col("lede").alias("full_text"), F.array().cast("array<struct<name:string,url:string,source:string>>").alias("pdf_storage")),
+        records(s, d).withColumn("embedding", F.lit(None).cast("array<float>")), NOW,
+    ).select("slug", F.size("chunks").alias("chunks")),
+    "q_embed": lambda s, d: embedding.embed(records(s, d).select("id", "content")).select("id", F.col("embedding").isNotNull().alias("embedded")),
+    "q_cosine_topk": lambda s, d: embedding.top_k(table(s, d, "embeddings"), table(s, d, "embeddings").filter("vec_id % 50 = 0"), 10).select("query", "neighbour", "rank", F.bround("score", 5).alias("score")),
+}
+
+from .oracles import ORACLES  # noqa: E402, F401

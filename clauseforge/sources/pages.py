@@ -226,3 +226,35 @@ def walk(parsed: DataFrame, per_page: int = 20) -> DataFrame:
     read = pages.withColumns({"__stop": F.coalesce(F.max(ends.cast("int")).over(before), F.lit(0)), "__repeat": F.max(repeat.cast("int")).over(upto)})
     kept = read.filter("__stop = 0 AND __repeat = 0")
     return kept.select("cur", F.posexplode("rows").alias("n", "r")).select("r.*", (F.col("cur") * F.lit(1000) + F.col("n")).cast("bigint").alias("pos"))
+
+
+def resolve_details(details: DataFrame) -> DataFrame:
+    """Listing rows from fetched detail pages ``category, source_page, document_id, title, detail_url, html``; pages without attachment give none."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            files = [detail_files(h, u) if h else {} for h, u in zip(batch.column("html").to_pylist(), batch.column("detail_url").to_pylist())]
+            columns = [batch.column(c) for c in ("document_id", "category", "title", "detail_url", "source_page")]
+            lists = [pa.array([list(f) for f in files], pa.list_(pa.string())), pa.array([list(f.values()) for f in files], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*columns, *lists], ["liferay_id", "category", "title", "detail_page", "source_page", "pdf_links", "pdf_filenames"])
+
+    found = details.select("document_id", "category", "title", "detail_url", "source_page", "html").mapInArrow(
+        run, "liferay_id string, category string, title string, detail_page string, source_page string, pdf_links array<string>, pdf_filenames array<string>"
+    )
+    none = F.array().cast("array<string>")
+    return found.filter(F.size("pdf_links") > 0).select(
+        "liferay_id", "category", "title", F.lit("").alias("reference_no"), F.lit(None).cast("string").alias("date_issued"), F.lit(None).cast("boolean").alias("archived"),
+        "detail_page", "pdf_links", "pdf_filenames", none.alias("file_sizes"), "source_page",
+    )
+
+
+def stub_rows(pages: DataFrame) -> DataFrame:
+    """``category, source_page, document_id, title, detail_url`` of plain link lists ``category, url, html``."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            rows = [(c, u, s["document_id"], s["title"], s["detail_url"]) for c, u, h in zip(*(batch.column(n).to_pylist() for n in ("category", "url", "html"))) for s in detail_stubs(h, u)]
+            names = ["category", "source_page", "document_id", "title", "detail_url"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(5)], names)
+
+    return pages.select("category", "url", "html").mapInArrow(run, "category string, source_page string, document_id string, title string, detail_url string")

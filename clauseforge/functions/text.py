@@ -195,20 +195,32 @@ def normalize_extracted(text: Column) -> Column:
 
     Front matter runs from its header to the next header of any kind; that header is judged anew.
     """
-    all_lines = F.transform(lines(text), lambda l: F.regexp_replace(l, rf"(?U){WS}+$", ""))
-    numbered = F.transform(all_lines, lambda l, i: F.struct(i.alias("i"), l.alias("l"), F.regexp_replace(l, rf"(?U)^{WS}+", "").alias("s")))
-    opens = F.transform(F.filter(numbered, lambda x: x["s"].rlike(FRONT_MATTER)), lambda x: x["i"])
-    closes = F.transform(F.filter(numbered, lambda x: x["s"].rlike(ANY_HEADER) & ~x["s"].rlike(FRONT_MATTER)), lambda x: x["i"])
+
+    def place(marked: Column) -> Column:
+        return F.transform(marked, lambda x: x["i"])
 
     def last_before(marks: Column, i: Column) -> Column:
         return F.coalesce(F.array_max(F.filter(marks, lambda m: m <= i)), F.lit(-1))
 
-    def kept(x: Column) -> Column:
+    def kept(x: Column, opens: Column, closes: Column) -> Column:
         skipped = (F.size(opens) > 0) & (last_before(opens, x["i"]) > last_before(closes, x["i"]))
         return ~(skipped | x["l"].rlike(FOOTNOTE) | (x["l"].rlike(CITATION) & ~x["l"].rlike(SHALL_BE)))
 
-    cleaned = F.transform(F.filter(numbered, kept), lambda x: reduce(lambda c, r: F.regexp_replace(c, r[0], r[1]), LINE_REPLACEMENTS, x["l"]))
-    return F.array_join(cleaned, "\n")
+    def clean(line: Column) -> Column:
+        # Every replacement needs one of these characters.
+        return F.when(line.rlike(r"[>\[_*#<]|^\s*-"), reduce(lambda c, r: F.regexp_replace(c, r[0], r[1]), LINE_REPLACEMENTS, line)).otherwise(line)
+
+    def numbered(l: Column, i: Column) -> Column:
+        return F.struct(i.alias("i"), F.regexp_replace(l, rf"(?U){WS}+$", "").alias("l"), F.regexp_replace(l, rf"(?U)^{WS}+|{WS}+$", "").alias("s"))
+
+    def marks(n: Column) -> Column:
+        front = F.filter(n, lambda x: x["s"].rlike(FRONT_MATTER))
+        header = F.filter(n, lambda x: x["s"].startswith("#") & x["s"].rlike(ANY_HEADER) & ~x["s"].rlike(FRONT_MATTER))
+        return F.struct(n.alias("n"), place(front).alias("o"), place(header).alias("c"))
+
+    # Arrays of one element bind their element, so that it is computed once and not anew for each line.
+    bound = F.transform(F.transform(F.array(F.transform(lines(text), numbered)), marks), lambda b: F.transform(F.filter(b["n"], lambda x: kept(x, b["o"], b["c"])), lambda x: clean(x["l"])))
+    return F.array_join(bound[0], "\n")
 
 
 # ------------------------------------------------------------ names and addresses

@@ -105,15 +105,23 @@ OVERLAP_OVER, OVERLAP_MOST = 40, 260
 
 
 def join_overlapping(pieces: Column) -> Column:
-    """The pieces end to end, each without the longest beginning that is also the end of what stands before it."""
+    """The pieces end to end, each without the longest beginning that is also the end of what stands before it.
+
+    Only the last 260 characters can overlap, so the fold carries these and the cuts, not the growing text.
+    """
+    state = "struct<tail:string,cuts:array<int>>"
 
     def step(done: Column, piece: Column) -> Column:
-        most = F.least(F.length(done), F.length(piece), F.lit(OVERLAP_MOST))
+        most = F.least(F.length(done["tail"]), F.length(piece))
         sizes = F.when(most > OVERLAP_OVER, F.sequence(most, F.lit(OVERLAP_OVER + 1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-        cut = F.coalesce(F.get(F.filter(sizes, lambda n: F.right(done, n) == F.left(piece, n)), F.lit(0)), F.lit(0))
-        return F.when(done == "", piece).otherwise(F.concat(done, F.substr(piece, cut + 1)))
-
-    return F.aggregate(pieces, F.lit(""), step)
+        head, tail = F.left(piece, F.lit(OVERLAP_MOST)), done["tail"]
+        cut = F.coalesce(F.get(F.filter(sizes, lambda n: F.right(tail, n) == F.left(head, n)), F.lit(0)), F.lit(0))
+        rest = F.right(F.concat(tail, F.right(F.substr(piece, cut + 1), F.lit(OVERLAP_MOST))), F.lit(OVERLAP_MOST))
+        return F.struct(rest.alias("tail"), F.concat(done["cuts"], F.array(cut)).alias("cuts")).cast(state)
+
+    start = F.struct(F.lit("").alias("tail"), F.array().cast("array<int>").alias("cuts")).cast(state)
+    cuts = F.aggregate(pieces, start, step)["cuts"]
+    return F.array_join(F.zip_with(pieces, cuts, lambda p, c: F.substr(p, c + 1)), "")
 
 
 def reassemble(chunks: DataFrame) -> DataFrame:

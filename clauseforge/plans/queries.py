@@ -152,6 +152,21 @@ def segments(s: SparkSession, d: str) -> DataFrame:
     return segmentation.segment(docs).select("doc_id", "seq", "id", "level", "ref", "heading", "text")
 
 
+def lineage_events(s: SparkSession, d: str) -> DataFrame:
+    """Each order a principal of outlined text, amended by one instrument with an instruction per line item; the events as anchored."""
+    outline = F.format_string("%d. Heading of part %d\n(%d) first clause", F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"))
+    texts = _order_lines(s, d, outline).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    found = segmentation.once_per_identity(segmentation.segment(texts)).withColumnRenamed("doc_id", "slug")
+    line = F.format_string("For clause %d of regulation %d, the following shall be substituted", F.col("l_suppkey"), F.col("l_linenumber"))
+    parsed = grammar.parse_amendments(_order_lines(s, d, line))
+    orders = table(s, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
+    amendments = parsed.join(orders, "doc_id", "left").select(
+        F.col("doc_id").cast("string").alias("slug"), F.concat(F.lit("am-"), F.col("doc_id").cast("string")).alias("doc"), "date", F.lit(0).cast("long").alias("pos"), "edges", "unparsed"
+    )
+    folded = lineage.fold(amendments, found.select("slug", "seq", "id", "level", "ref", "heading", "path"))
+    return lineage.flatten_provisions(folded).select("id", F.explode("events").alias("e")).select("id", "e.action", "e.doc", "e.date", "e.detail", "e.verified")
+
+
 def _parsed_documents(s: SparkSession, d: str) -> DataFrame:
     return grammar.explode_edges(grammar.parse_amendments(table(s, d, "documents").filter("text IS NOT NULL"), "doc_id", "text"))
 
@@ -234,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "q_grammar_edges": _parsed_documents,
     "q_segments": segments,
     "q_edge_dedup": lambda s, d: audit.once_per_edge(_parsed_documents(s, d), ["doc_id"], ["line_no", "edge_no"]).groupBy("rule", "action", "level", "confidence").agg(F.count("*").alias("edges")),
+    "q_lineage_events": lineage_events,
     "q_lineages": lambda s, d: lineage.flatten_provisions(build(s, d)[0]),
     "q_lineage_notes": lambda s, d: build(s, d)[1],
     "q_lineage_stats": lambda s, d: build(s, d)[2],

@@ -135,7 +135,7 @@ _TOKEN = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}\p{M}]+")
 class Model:
     """Character bigrams of the three scripts: log scores from counts over all texts."""
 
-    BITS = 22  # table of 2**22 hashed bigrams
+    BITS = 18  # table of 2**18 hashed bigrams; three alphabets have some 10**5 that occur
 
     def __init__(self, counts: np.ndarray | None = None):
         self.counts = counts
@@ -143,8 +143,8 @@ class Model:
         self.total = float(counts.sum()) if counts is not None else 0.0
 
     @staticmethod
-    def cell(a: int, b: int) -> int:
-        return (a * 2053 + b) & ((1 << Model.BITS) - 1)
+    def cell(a, b):  # noqa: ANN001, ANN205 - whole numbers or arrays of them
+        return (a * 40503 ^ b * 9973 ^ (b >> 5)) & ((1 << Model.BITS) - 1)
 
     def score(self, a: str, b: str) -> float:
         n = float(self.counts[self.cell(ord(a) if a else 1, ord(b))]) if self.counts is not None else 0.0
@@ -197,8 +197,8 @@ def learn(df: DataFrame, text: str = "content") -> Model:
             s = script[index[cp]]
             same = (s[1:] == s[:-1]) & (s[1:] >= 0)
             first = np.concatenate([s[:1] >= 0, (s[1:] >= 0) & (s[:-1] < 0)])
-            cells = np.concatenate([cp[:-1][same] * 2053 + cp[1:][same], 2053 + cp[first]]) & ((1 << Model.BITS) - 1)
-            np.add.at(total, *np.unique(cells, return_counts=True))
+            cells = np.concatenate([Model.cell(cp[:-1][same], cp[1:][same]), Model.cell(1, cp[first])])
+            total += np.bincount(cells, minlength=len(total))
         yield count_rows(total, TaskContext.get().partitionId())
 
     rows = df.select(df[text].alias("text")).filter("text IS NOT NULL")

@@ -139,6 +139,26 @@ def unpack(group: pa.Table, doc_type: np.dtype, with_pos: bool) -> tuple[np.ndar
     return docs, token[new], doc[new], side[new], where[new] if with_pos else None
 
 
+class Once:
+    """Which texts of a task are new to it, by key: copies need no postings of their own.
+
+    A group of copies then costs one document per task however large it is.  The memory is emptied when it
+    is full, which only lets a copy through again.
+    """
+
+    def __init__(self, most: int = 1_000_000):
+        self.most, self.seen = most, set()
+
+    def fresh(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for k in batch.column("k").to_pylist():
+            keep.append(k not in self.seen)
+            self.seen.add(k)
+        if len(self.seen) > self.most:
+            self.seen = set()
+        return batch if all(keep) else batch.filter(pa.array(keep, pa.bool_()))
+
+
 def bucket_number(postings: float) -> int:
     return max(1, -(-int(postings) // BUCKET_POSTINGS))
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint
 from ._arrays import batches, mix, pairs_in_runs, ranges, span_hashes, utf8
 from ._blocks import pairs_within
-from ._postings import Packer, bucket_number, cell_of, count_rows, count_table, restrict, spread, unpack
+from ._postings import Once, Packer, bucket_number, cell_of, count_rows, count_table, restrict, spread, unpack
 
 U = np.uint64
 THRESHOLD = 0.7
@@ -104,8 +104,8 @@ def prefixes(row: np.ndarray, shingle: np.ndarray, counts: np.ndarray, t: float)
 
 def shingle_counts(rows: DataFrame, w: int, least: int) -> np.ndarray:
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
-        for batch in batches(it, "text"):
+        total, once = np.zeros(1 << BITS, np.int64), Once()
+        for batch in map(once.fresh, batches(it, "text")):
             _, shingle = shingle_sets(*utf8(batch.column("text")), w, least, distinct=False)
             total += np.bincount(cell_of(shingle, BITS), minlength=1 << BITS)
         yield count_rows(total, TaskContext.get().partitionId())
@@ -121,8 +121,8 @@ def candidates(rows: DataFrame, w: int = SHINGLE, least: int = LEAST_TOKENS, t:
     table = rows.sparkSession.sparkContext.broadcast(counts)  # 2**BITS numbers
 
     def post(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(buckets)
-        for batch in batches(it, "text"):
+        packer, once = Packer(buckets), Once()
+        for batch in map(once.fresh, batches(it, "text")):
             row, shingle = shingle_sets(*utf8(batch.column("text")), w, least)
             if not len(row):
                 continue

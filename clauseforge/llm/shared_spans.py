@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint
 from ._arrays import GAP, batches, code_points, gram_hashes, pairs_in_runs
 from ._blocks import pairs_within
-from ._postings import Packer, bucket_number, cell_of, count_rows, count_table, restrict, spread, unpack
+from ._postings import Once, Packer, bucket_number, cell_of, count_rows, count_table, restrict, spread, unpack
 
 U = np.uint64
 SPAN = 200
@@ -96,8 +96,8 @@ def meetings(rows: DataFrame, span: int = SPAN) -> DataFrame:
     """``ka < kb, pa, pb``: places where two different texts (rows ``k``, ``text``) hold the same anchor, one per alignment and bucket."""
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
-        for batch in batches(it, "text", PART):
+        total, once = np.zeros(1 << BITS, np.int64), Once()
+        for batch in map(once.fresh, batches(it, "text", PART)):
             k, row, pos, h = _numpy_rows(batch, span)
             total += np.bincount(cell_of(h, BITS), minlength=1 << BITS)
             if len(h):

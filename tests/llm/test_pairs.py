@@ -97,6 +97,17 @@ def test_pairs_within_blocks(spark):
     assert sorted(got) == sorted((k, a, b) for k in range(3) for a, b in itertools.combinations(range(k, 90, 3), 2))
 
 
+def test_a_hot_group_of_copies_stays_one_document(spark):
+    base = words(60)
+    near = " ".join([*base[:59], "changed"])
+    rows = [(f"c{i:04d}", " ".join(base), None, i, None, None) for i in range(1500)] + [("near", near, None, 0, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    groups = near_duplicates.near_duplicate_groups(df).collect()
+    assert len(groups) == 1501 and {(r.group_id, r.records) for r in groups} == {("c0000", 1501)} and {r.links for r in groups} == {1}
+    shared = {r.id: r for r in shared_spans.shared_per_record(df).collect()}
+    assert len(shared) == 1501 and len({r.class_id for r in shared.values()}) == 2 and shared["c0007"].shared_chars == len(" ".join(base))
+
+
 def share(a, b, n=200):
     return bool(a and b and {a[i : i + n] for i in range(len(a) - n + 1)} & {b[i : i + n] for i in range(len(b) - n + 1)})
 

@@ -135,6 +135,17 @@ def test_template_classes(spark):
     assert markup.clean_records(spark.createDataFrame(rows, schema).limit(0)).count() == 0
 
 
+def test_classes_nest_or_one_is_left_out():
+    page = [(t, 2 * i, 2 * i + 1) for i, t in enumerate("a x y b a x y b".split())]
+    text = "".join(t + "-" for t, _, _ in page)
+    assert markup.slots(text, page, {1: {"a", "b"}, 2: {"x", "y"}})[1] == 2  # x y lies between a and b, twice
+    crossed = [(t, 2 * i, 2 * i + 1) for i, t in enumerate("a x b y".split())]
+    assert markup.slots(text, crossed, {1: {"a", "b"}, 2: {"x", "y"}})[1] == 1
+    assert markup.slots(text, page, {1: {"a", "z"}, 2: {"x", "y", "b"}})[1] == 2
+    unordered = [(t, 2 * i, 2 * i + 1) for i, t in enumerate("a b b a".split())]
+    assert markup.slots(text, unordered, {1: {"a", "b"}})[1] == 0
+
+
 def test_queries_match_sql(compare):
     from clauseforge.llm.queries import ORACLES, QUERIES
 

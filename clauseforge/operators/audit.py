@@ -30,7 +30,8 @@ def audit(docs: DataFrame, chunks: DataFrame) -> DataFrame:
     """
     chosen = docs.filter(classify.is_audited(F.col("title"))).select("slug", "title")
     own = chunks.join(chosen.select(F.col("slug").alias("doc_id")), "doc_id", "left_semi")
-    texts = chunking.reassemble(own).select("doc_id", "attachment", X.drop_devanagari_lines(F.col("text")).alias("text")).filter(F.length("text") >= LEAST_TEXT)
+    whole = chunking.reassemble(own).select("doc_id", "attachment", X.drop_devanagari_lines(F.col("text")).alias("text"))
+    texts = checkpoint(whole.filter(F.length("text") >= LEAST_TEXT))  # read four times below
     keyed = texts.select(F.struct("doc_id", "attachment").alias("k"), "text")
     parsed = checkpoint(grammar.parse_amendments(keyed, "k", "text").select("doc_id.doc_id", "doc_id.attachment", "principal", "edges", "unparsed"))
     edges = parsed.select("doc_id", "attachment", F.posexplode("edges").alias("edge_no", "e")).select("doc_id", "attachment", "edge_no", "e.*")

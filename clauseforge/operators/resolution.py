@@ -79,7 +79,16 @@ def resolve_principals(parsed: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def text_variants(wanted: DataFrame, corpus: DataFrame, texts: DataFrame) -> DataFrame:
-    """``slug, variant``: for principals without text the first document that has one and whose title holds all their words.
+    """``slug, variant``: for principals without text the first document that has one and whose title holds all their words."""
+    return first_variants(holding_titles(wanted, corpus, texts))
+
+
+def first_variants(held: DataFrame) -> DataFrame:
+    return held.groupBy("slug").agg(F.min_by("variant", "pos").alias("variant"))
+
+
+def holding_titles(wanted: DataFrame, corpus: DataFrame, texts: DataFrame) -> DataFrame:
+    """``slug, variant, pos``: all documents with a text and a title that holds all words of the wanted one's.
 
     ``wanted`` has ``slug`` and ``amendment`` (left out as well).  All words must be shared, so the rarest
     word of the wanted title alone finds the candidates.
@@ -95,7 +104,6 @@ def text_variants(wanted: DataFrame, corpus: DataFrame, texts: DataFrame) -> Dat
         .groupBy("slug", "amendment", "wt")
         .agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("token"))
     )
-    held = rarest.join(have.select("variant", "pos", "ct", F.explode("ct").alias("token")), "token").filter(
+    return rarest.join(have.select("variant", "pos", "ct", F.explode("ct").alias("token")), "token").filter(
         (F.size(F.array_except("wt", "ct")) == 0) & (F.col("variant") != F.col("slug")) & (F.col("variant") != F.col("amendment"))
-    )
-    return held.groupBy("slug").agg(F.min_by("variant", "pos").alias("variant"))
+    ).select("slug", "variant", "pos")

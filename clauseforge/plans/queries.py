@@ -76,9 +76,8 @@ def title_variants(s: SparkSession, d: str) -> DataFrame:
 
 
 def _text_of_docs(s: SparkSession, d: str) -> DataFrame:
-    """A text for each document: its texts one after the other."""
-    texts = table(s, d, "documents").filter("slug IS NOT NULL AND text IS NOT NULL")
-    return texts.groupBy("slug").agg(F.max_by("text", "doc_id").alias("text"))
+    """The texts of each document, in order of ``part``."""
+    return table(s, d, "documents").filter("slug IS NOT NULL AND text IS NOT NULL").select("slug", F.col("doc_id").alias("part"), "text")
 
 
 def build(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -161,3 +161,29 @@ def test_detail_and_empty(spark):
     none = spark.createDataFrame([], "doc_id string, text string")
     assert grammar.parse_amendments(none).count() == 0 and segmentation.segment(none).count() == 0
     assert grammar.parse_amendments(spark.createDataFrame([("a", None)], none.schema)).select(F.size("edges")).first()[0] == 0
+
+
+def test_texts_of_a_slug_count_as_one(spark):
+    """Several texts of a slug give what their concatenation gives: scope, paths and edges run on from text to text."""
+    principal = ["CHAPTER I\n1. First regulation text\n(a) clause a", "(b) clause b of regulation 1", "2. Second regulation text\n(a) clause a"]
+    act = ["to amend the Insurance Regulatory (Cover) Regulations, 2016\nIn regulation 1:\nclause (a) shall be omitted", " \n", "clause (b) shall be omitted\nfoo shall be deleted", "4. For clause (a) of regulation 2, the following shall be substituted"]
+    docs = spark.createDataFrame([
+        ("p", 0, "Insurance Regulatory (Cover) Regulations, 2016", "Regulations", "2016-01-01"), ("am", 1, "Insurance Regulatory (Cover) (Amendment) Regulations, 2017", "Regulations", "2017-01-01"),
+    ], "slug string, pos int, title string, type string, dateIssued string")
+    apart = spark.createDataFrame([(s, n, t) for s, ts in (("p", principal), ("am", act)) for n, t in enumerate(ts)], "slug string, part bigint, text string")
+    whole = spark.createDataFrame([("p", "\n".join(principal)), ("am", "\n".join(act))], "slug string, text string")
+    want = [sorted(map(str, df.collect())) for df in lineage.build(docs, whole)]
+    for n in (1, 4):
+        lines, notes, stats = lineage.build(docs, apart.orderBy(F.col("part").desc()).repartition(n))
+        assert [sorted(map(str, df.collect())) for df in (lines, notes, stats)] == want
+        (r,) = lines.collect()
+    assert r.textFrom == "p" and [(a.edges, a.unparsed) for a in r.amendments] == [(3, 1)]
+    assert {p.path: p.events[0].action for p in r.provisions if p.events} == {"cha-I/reg-1/sub-a": "omit", "cha-I/reg-1/sub-b": "omit", "cha-I/reg-2/sub-a": "substitute"}
+
+
+def test_lineage_queries_read_every_text(spark, tmp_path):
+    from clauseforge.plans import queries
+
+    spark.createDataFrame([(1, "a", "first"), (2, "a", "second"), (3, "b", " "), (4, None, "x"), (5, "b", None)], "doc_id bigint, slug string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries._text_of_docs(spark, str(tmp_path)).orderBy("part")
+    assert [tuple(r) for r in got.select("slug", "part", "text").collect()] == [("a", 1, "first"), ("a", 2, "second"), ("b", 3, " ")]

@@ -68,6 +68,8 @@ class Patterns:
         ids = np.where(self.vocabulary[spot] == words.hash, spot + 1, 0)
         stop = words.first[1:]
         doc = np.flatnonzero(np.diff(words.first) >= self.run)
+        if not len(doc):  # only empty or short texts
+            return none, none, none
         pos = words.first[doc] + self.run - 1  # last word of the window
         ends: list[np.ndarray] = []
         while len(doc):

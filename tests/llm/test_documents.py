@@ -84,6 +84,12 @@ def test_leakage(spark, texts):
     assert leakage.leaked_pairs(df.limit(0), it).count() == 0 and leakage.leaked_pairs(df, it.limit(0)).count() == 0
 
 
+def test_leakage_of_short_texts_only(spark):
+    it = spark.createDataFrame([(0, " ".join(f"w{k}" for k in range(20)))], "item_id long, text string")
+    df = frame(spark, ["", "  \n", "a few words", " ".join(f"w{k}" for k in range(12)), None]).coalesce(1)
+    assert leakage.leaks(df, it).count() == 0 and leakage.leaked_pairs(df, it).count() == 0
+
+
 @pytest.mark.skipif(not os.path.exists(tokenizing.VOCABULARY), reason="no vocabulary files here")
 def test_tokenizing(spark, texts):
     from tokenizers import Tokenizer

@@ -141,6 +141,16 @@ def test_template_classes(spark):
     assert markup.clean_records(spark.createDataFrame(rows, schema).limit(0)).count() == 0
 
 
+def test_slots_hold_what_stands_outside_and_within_tokens():
+    text = "Ref 7\n== Notice 12 ==\n'''Date:''' 3 May\nplain line"
+    page = markup.page_tokens(text)
+    assert [t for t, _, _ in page] == ["m:wiki_heading", "w:Notice", "w:12", "m:/wiki_heading", "m:wiki_emphasis", "w:Date", "m:/wiki_emphasis", "w:3", "w:May"]
+    names = {"m:wiki_heading", "w:Notice", "m:/wiki_heading", "m:wiki_emphasis", "w:Date", "m:/wiki_emphasis"}
+    assert markup.slots(text, page, {1: names}) == (["Ref 7", "12", "3 May plain line"], 1)
+    assert markup.slots(text, page, {}) == ([], 0)
+    assert [t for t, _, _ in markup.page_tokens("<b>x</b> one <i>two\nthree")] == ["m:<b>", "w:x", "m:</b>", "w:one", "m:<i>", "w:two"]
+
+
 def test_classes_nest_or_one_is_left_out():
     page = [(t, 2 * i, 2 * i + 1) for i, t in enumerate("a x y b a x y b".split())]
     text = "".join(t + "-" for t, _, _ in page)

@@ -130,6 +130,13 @@ def test_conversion_keeps_structure():
     ]
 
 
+def test_conversion_of_deep_nesting_and_escapes():
+    assert markup.convert("{{a|" * 7 + "x" + "}}" * 7) == [("text", 0, "a: " * 7 + "x")]
+    assert "x" in (got := " ".join(t for _, _, t in markup.convert("&amp;amp;amp;lt;code>&amp;amp;lt;code>&amp;lt;code><code>x</code>&amp;lt;/code>&amp;amp;lt;/code>&amp;amp;amp;lt;/code>"))) and "\ue000" not in got
+    for depth in range(6):
+        assert markup.convert("&" + "amp;" * depth + "lt;b&" + "amp;" * depth + "gt;bold&" + "amp;" * depth + "lt;/b&" + "amp;" * depth + "gt; R&" + "amp;" * depth + "D") == [("text", 0, "bold R&D")]
+
+
 def test_template_classes(spark):
     schema = "id string, doc_id string, content string, loaded_at int, page string, text string"
     rows = [(f"p{i}", "host", f"<div class='t'><b>Name</b>: {w} <i>{i}</i></div>", 1, None, None) for i, w in enumerate(["alpha", "beta", "gamma", "delta"])]

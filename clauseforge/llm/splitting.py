@@ -4,7 +4,8 @@ An item starts as atomic segments: its sentences and lines; where one alone is t
 its words, then forced cuts that keep a letter and its marks together.  The boundaries between adjacent
 segments wait in a heap, weakest first (forced, word, clause, sentence, line, paragraph), and the two sides
 of a boundary are merged while their combined size plus the overlap fits the limit.  What is left are the
-cuts.  Each piece but the first begins with the end of the piece before, from a natural boundary.
+cuts.  Each piece but the first begins with the end of the piece before, from a natural boundary; before a
+segment that fits the limit only without the full overlap, the overlap shrinks.
 """
 
 from __future__ import annotations
@@ -39,15 +40,23 @@ def _forced(text: str, at: int, low: int) -> int:
     return p if p > low else at
 
 
-def atoms(text: str, most: int) -> list[tuple[int, int]]:
-    """End and strength of the cut after each atomic segment (the last one's end is the text's)."""
+def atoms(text: str, limit: int, most: int) -> list[tuple[int, int]]:
+    """End and strength of the cut after each atomic segment (the last one's end is the text's).
+
+    What fits the limit stays whole; what no boundary divides is cut every ``most``, to leave room for an overlap.
+    """
     marks = boundaries(text)
     out: list[tuple[int, int]] = []
 
     def cut(begin: int, end: int, strength: int, marks: list[tuple[int, int]], level: int) -> None:
-        if end - begin <= most and level < SENTENCE:
+        if end - begin <= limit and level < SENTENCE:
             out.append((end, strength))
             return
+        body = begin + len(text[begin:end].rstrip())
+        if level < SENTENCE and begin < body <= begin + limit:  # only its white space does not fit
+            out.append((body, strength))
+            cut(body, end, strength, [], FORCED)
+            return
         while level >= WORD:
             inner = [(p, s) for p, s in marks if s >= level]
             if inner or level <= SENTENCE:
@@ -68,7 +77,7 @@ def atoms(text: str, most: int) -> list[tuple[int, int]]:
                 k += 1
             if k < len(rest) and rest[k][0] == p:
                 k += 1
-            if p - at > most:
+            if p - at > limit:
                 cut(at, p, s, own, level - 1)
             else:
                 out.append((p, s))
@@ -86,7 +95,7 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
     if len(text) <= limit:
         return [(0, 0, len(text))]
     overlap = min(overlap, limit - 1)
-    parts = atoms(text, limit - overlap)
+    parts = atoms(text, limit, limit - overlap)
     n = len(parts)
     end = [e for e, _ in parts]
     start = [0, *end[:-1]]
@@ -115,7 +124,7 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
     marks = boundaries(text)
     out, k = [(0, *cuts[0])], 0
     for (a, b), (c, d) in zip(cuts, cuts[1:]):
-        low = max(a, b - overlap)
+        low = max(a, b - overlap, d - limit)
         while k < len(marks) and marks[k][0] < low:
             k += 1
         near, m = {}, k

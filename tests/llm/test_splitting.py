@@ -35,6 +35,16 @@ def test_cuts_at_the_strongest_boundaries():
     check("sentence. " * 100_000, 1800, 200)
 
 
+def test_what_fits_a_piece_is_not_cut():
+    text = "Some words before it. " * 20
+    for size in (1601, 1700, 1799, 1800):
+        run = text + "y" * size + " and after"
+        assert not any(len(text) < c < len(text) + size for _, _, c in check(run, 1800, 200))
+        sentence = text + ("word, " * 400)[: size - 2] + ". " + text
+        cut = check(sentence, 1800, 200)
+        assert (len(text), len(text) + size) in [(b, c) for _, b, c in cut]
+
+
 def test_operator(spark):
     long = "One sentence. " * 300
     rows = [("a", long, "h", 1, 0, "x"), ("a", long, "h", 2, 0, "x"), ("b", "short", None, 1, 0, "x"), ("c", None, None, 1, 0, None), ("d", "", None, None, 0, None), (None, long, None, None, 0, None), ("e", "y" * 1800, "h", 1, 0, "")]

@@ -179,3 +179,23 @@ def test_stream_upserts_and_runs_again(spark, tmp_path):
     assert [r._source.liferay_id for r in store.delta(store.versions()[-1]).collect()] == ["4"]
     stream.upsert_batch(store, spark.read.parquet(source).filter("scanned_at >= '2026-01-02'"), store.versions()[-1], LATER, 2026)  # the same batch again
     assert store.current().count() == 3
+
+
+def test_sightings_per_day_are_exact(spark, tmp_path):
+    from clauseforge.streaming import listing as stream
+
+    rows = spark.range(6000).selectExpr(
+        "if(id % 10 = 9, null, concat('id', id % 3000)) AS liferay_id", "if(id % 2 = 0, 'a', 'b') AS category", "timestamp'2026-01-01 05:00:00' + make_interval(0, 0, 0, CAST(id >= 5000 AS INT)) AS scanned_at"
+    )
+    day = F.date_format("window.start", "dd").alias("day")
+    want = {tuple(r) for r in rows.groupBy(F.date_format("scanned_at", "dd"), "category").agg(F.count("*"), F.count_distinct("liferay_id")).collect()}
+    assert {tuple(r) for r in stream.sightings_per_day(rows).select(day, "category", "sightings", "ids").collect()} == want
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in/1")
+    rows.limit(1).selectExpr("liferay_id", "category", "timestamp'2026-02-01 05:00:00' AS scanned_at").write.parquet(f"{tmp_path}/in/2")  # moves the watermark on
+    source = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    query = stream.sightings_per_day(source).writeStream.format("memory").queryName("per_day").outputMode("append").option("checkpointLocation", f"{tmp_path}/offsets").trigger(availableNow=True).start()
+    try:
+        assert query.awaitTermination(100)
+        assert {tuple(r) for r in spark.table("per_day").select(day, "category", "sightings", "ids").collect()} == want
+    finally:
+        query.stop()

@@ -23,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from ._arrays import batches, mix, pairs_in_runs, ranges, span_hashes, utf8
+from ._arrays import batches, mix, ranges, span_hashes, utf8
 from ._blocks import pairs_within
-from ._postings import Once, Packer, bucket_number, cell_of, count_rows, count_table, restrict, spread, unpack
+from ._postings import Once, Packer, Pairs, bucket_number, cell_of, count_rows, count_table, meet, restrict, shares, table_bits
 
 U = np.uint64
 THRESHOLD = 0.7
 SHINGLE = 3
 LEAST_TOKENS = 40
-#: Size of the table of hashed shingle counts (2**20 whole numbers), whatever the corpus.
-BITS = 20
+#: Bytes of text to a shingle, about; sizes the table of hashed shingle counts (2**22 cells at most).
+BYTES_PER_SHINGLE = 8
 #: Longest l a record may choose; cost of verifying a candidate against that of reading a posting; the
 #: share of candidates that one more required match leaves over.
 MOST_MATCHES, VERIFY_COST, DECAY = 6, 30.0, 0.25
@@ -78,7 +78,7 @@ def _threshold(t: float) -> tuple[int, int]:
 def prefixes(row: np.ndarray, shingle: np.ndarray, counts: np.ndarray, t: float) -> tuple[np.ndarray, ...]:
     """Rows that have shingles, their sizes, chosen l and signatures; and the postings (index of row, shingle, count)."""
     num, den = _threshold(t)
-    seen = counts[cell_of(shingle, BITS)]
+    seen = counts[cell_of(shingle, len(counts).bit_length() - 1)]
     order = np.lexsort((shingle, seen, row))
     row, shingle, seen = row[order], shingle[order], seen[order]
     rows, begin, size = np.unique(row, return_index=True, return_counts=True)
@@ -102,45 +102,49 @@ def prefixes(row: np.ndarray, shingle: np.ndarray, counts: np.ndarray, t: float)
     return rows, size, chosen, sig, index, shingle[at], seen[at]
 
 
-def shingle_counts(rows: DataFrame, w: int, least: int) -> np.ndarray:
+def shingle_counts(rows: DataFrame, w: int, least: int, bits: int) -> np.ndarray:
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, once = np.zeros(1 << BITS, np.int64), Once()
+        total, once = np.zeros(1 << bits, np.int64), Once()
         for batch in map(once.fresh, batches(it, "text")):
             _, shingle = shingle_sets(*utf8(batch.column("text")), w, least, distinct=False)
-            total += np.bincount(cell_of(shingle, BITS), minlength=1 << BITS)
+            total += np.bincount(cell_of(shingle, bits), minlength=1 << bits)
         yield count_rows(total, TaskContext.get().partitionId())
 
-    return count_table(rows.mapInArrow(count, "slice int, part int, counts binary"), BITS)
+    return count_table(rows.mapInArrow(count, "slice int, part int, counts binary"), bits)
 
 
 def candidates(rows: DataFrame, w: int = SHINGLE, least: int = LEAST_TOKENS, t: float = THRESHOLD) -> DataFrame:
-    """Pairs of text keys ``ka < kb`` that share as many prefix shingles as they must and pass the bounds."""
+    """Pairs of text keys ``ka < kb`` that share as many prefix shingles as they must and pass the bounds.
+
+    The counts only give the shingles their order (rare ones first) and tell which may swamp a bucket: any
+    table gives the same pairs.
+    """
     num, den = _threshold(t)
-    counts = shingle_counts(rows, w, least)
-    buckets = bucket_number(counts.sum() * (1 - num / den + 0.05))
-    table = rows.sparkSession.sparkContext.broadcast(counts)  # 2**BITS numbers
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    counts = shingle_counts(rows, w, least, table_bits(size / BYTES_PER_SHINGLE))
+    spark = rows.sparkSession
+    buckets = bucket_number(counts.sum() * (1 - num / den + 0.05), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table = spark.sparkContext.broadcast((np.minimum(counts, 2**31 - 1).astype(np.int32), shares(counts).astype(np.int32)))  # 2**22 numbers each at most
 
     def post(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, once = Packer(buckets), Once()
+        counts, dealt = table.value
         for batch in map(once.fresh, batches(it, "text")):
             row, shingle = shingle_sets(*utf8(batch.column("text")), w, least)
             if not len(row):
                 continue
-            rows_, size, chosen, sig, index, token, seen = prefixes(row, shingle, table.value, t)
+            rows_, size, chosen, sig, index, token, _ = prefixes(row, shingle, counts, t)
             docs = np.empty(len(rows_), DOC)
             docs["k"] = batch.column("k").to_numpy(zero_copy_only=False)[rows_]
             docs["n"], docs["l"], docs["sig"] = size, chosen, sig
-            at, group, side = spread(token, docs["k"].view(U)[index], seen)
-            yield from packer.add(docs, group, index[at], side)
+            yield from packer.add(docs, token, index, dealt[cell_of(token, len(dealt).bit_length() - 1)])
         yield from packer.flush()
 
-    def meet(group: pa.Table) -> pa.Table:
-        docs, token, doc, side, _ = unpack(group, DOC, False)
+    def pair(docs: np.ndarray, token: np.ndarray, doc: np.ndarray, pos: None, pairs: Pairs) -> list[np.ndarray]:
         n = docs["n"].astype(np.int64)
-        keys, shares = [], []
-        for i, j in pairs_in_runs(token):
-            keep = (side[i] == 0) & (side[j] == 0) | (side[i] + side[j] == 3)
-            a, b = doc[i[keep]], doc[j[keep]]
+        keys, found = [], []
+        for i, j in pairs:
+            a, b = doc[i], doc[j]
             keep = np.minimum(n[a], n[b]) * den >= np.maximum(n[a], n[b]) * num
             a, b = a[keep], b[keep]
             apart = np.bitwise_count(docs["sig"][a] ^ docs["sig"][b]).sum(axis=1, dtype=np.int64)
@@ -149,16 +153,15 @@ def candidates(rows: DataFrame, w: int = SHINGLE, least: int = LEAST_TOKENS, t:
             a, b = a[keep], b[keep]
             key, share = np.unique(np.minimum(a, b) << 32 | np.maximum(a, b), return_counts=True)
             keys.append(key)
-            shares.append(share)
+            found.append(share)
         key, where = np.unique(np.concatenate(keys) if keys else np.empty(0, np.int64), return_inverse=True)
-        share = np.bincount(where, np.concatenate(shares), minlength=len(key)).astype(np.int64) if len(key) else np.empty(0, np.int64)
+        share = np.bincount(where, np.concatenate(found), minlength=len(key)).astype(np.int64) if len(key) else np.empty(0, np.int64)
         a, b = key >> 32, key & 0xFFFFFFFF
         must = np.minimum(docs["l"][a], docs["l"][b])
         ka, kb = docs["k"][a], docs["k"][b]
-        return pa.table({"ka": np.minimum(ka, kb), "kb": np.maximum(ka, kb), "shared": share, "must": must.astype(np.int64)})
+        return [np.minimum(ka, kb), np.maximum(ka, kb), share, must.astype(np.int64)]
 
-    packed = rows.mapInArrow(post, Packer.SCHEMA)
-    met = packed.groupBy("bucket").applyInArrow(meet, "ka long, kb long, shared long, must long")
+    met = meet(rows.mapInArrow(post, Packer.SCHEMA), buckets, DOC, pair, [(c, pa.int64()) for c in ("ka", "kb", "shared", "must")])
     return met.groupBy("ka", "kb").agg(F.sum("shared").alias("shared"), F.max("must").alias("must")).filter("shared >= must").select("ka", "kb")
 
 

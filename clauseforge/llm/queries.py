@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "p1_pieces": lambda s, d: splitting.split_oversized(_chunks(s, d)),
     "p2_found": lambda s, d: shared_spans.sharing_pairs(_chunks(s, d)),
     "p2_records": lambda s, d: shared_spans.shared_per_record(_chunks(s, d)),
+    "p2_classes": lambda s, d: shared_spans.sharing_classes(_chunks(s, d)),
     "p3_found": lambda s, d: near_duplicates.similar_pairs(_chunks(s, d)),
     "p3_groups": lambda s, d: near_duplicates.near_duplicate_groups(_chunks(s, d)),
     "p4_found": lambda s, d: lookalikes.lookalike_pairs(_chunks(s, d)),

@@ -4,6 +4,12 @@ Seeds are winnowed anchors: of every 101 consecutive runs of 100 code points the
 kept, so two texts with 200 code points in common keep at least one anchor at the same place of the
 common run.  Texts are joined on their anchors in buckets (see ``_postings``); each meeting is extended
 both ways on the texts themselves, and maximal repeats of the asked length are kept.
+
+Where text repeats itself (dot leaders, rules, a passage over and over) an anchor stands at many places, and
+two such texts would meet at the product of them.  Anchors of one hash that follow each other closely are
+one *run*; where a run, or more than four places of one anchor in a text, meets another text, the pair
+gets one place that stands for all, and its texts are compared by the set of all their runs of 200: the
+same common parts, in time linear in the two texts.
 """
 
 from __future__ import annotations
@@ -13,19 +19,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from ._arrays import GAP, batches, code_points, gram_hashes, pairs_in_runs
+from ._arrays import GAP, batches, code_points, gram_hashes
 from ._blocks import pairs_within
-from ._postings import Once, Packer, bucket_number, cell_of, count_rows, count_table, restrict, spread, unpack
+from ._postings import Once, Packer, Pairs, bucket_number, cell_of, count_rows, count_table, meet, restrict, shares
 
 U = np.uint64
 SPAN = 200
-#: Size of the table of hashed anchor counts (2**18 whole numbers).
-BITS = 18
+#: Size of the table of hashed anchor counts (2**16 whole numbers), which finds anchors that may swamp a bucket.
+BITS = 16
+#: Places of one anchor in one text that are joined one by one.
+PLACES = 4
 #: Code points of one text scanned at once; longer texts are scanned in overlapping parts.
 PART = 1 << 19
 DOC = np.dtype([("k", "<i8")])
@@ -87,18 +95,23 @@ def _anchors(parts: list[tuple[int, int, str]], span: int) -> tuple[np.ndarray,
     return row[part], chosen - begin[part] + shift[part], hashes[chosen]
 
 
-def _numpy_rows(batch: pa.RecordBatch, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    row, pos, h = anchors(batch.column("text").to_pylist(), span)
-    return batch.column("k").to_numpy(zero_copy_only=False), row, pos, h
+def runs_joined(row: np.ndarray, pos: np.ndarray, h: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors with every close run of one hash as a single entry, marked by a negative position (``-1 - first``)."""
+    near = np.zeros(len(row) + 1, bool)
+    near[1:-1] = (row[1:] == row[:-1]) & (h[1:] == h[:-1]) & (pos[1:] - pos[:-1] <= grams(span)[0] // 2)
+    first, run = ~near[:-1], near[1:]
+    return row[first], np.where(run, -1 - pos, pos)[first], h[first]
 
 
 def meetings(rows: DataFrame, span: int = SPAN) -> DataFrame:
-    """``ka < kb, pa, pb``: places where two different texts (rows ``k``, ``text``) hold the same anchor, one per alignment and bucket."""
+    """``ka < kb, pa, pb``: places where two different texts (rows ``k``, ``text``) hold the same anchor, one per alignment
+    and bucket; a place of -1 stands for all places of the pair."""
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, once = np.zeros(1 << BITS, np.int64), Once()
         for batch in map(once.fresh, batches(it, "text", PART)):
-            k, row, pos, h = _numpy_rows(batch, span)
+            row, pos, h = runs_joined(*anchors(batch.column("text").to_pylist(), span), span)
+            k = batch.column("k").to_numpy(zero_copy_only=False)
             total += np.bincount(cell_of(h, BITS), minlength=1 << BITS)
             if len(h):
                 kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -110,8 +123,9 @@ def meetings(rows: DataFrame, span: int = SPAN) -> DataFrame:
 
     kept = checkpoint(rows.mapInArrow(cut, "slice int, part int, counts binary, k binary, pos binary"))
     counts = count_table(kept.filter("slice >= 0").select("slice", "part", "counts"), BITS)
-    buckets = bucket_number(counts.sum())
-    table = rows.sparkSession.sparkContext.broadcast(counts)  # 2**BITS numbers
+    spark = rows.sparkSession
+    buckets = bucket_number(counts.sum(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = spark.sparkContext.broadcast(shares(counts).astype(np.int32))  # 2**BITS numbers
 
     gram, _ = grams(span)
 
@@ -123,27 +137,34 @@ def meetings(rows: DataFrame, span: int = SPAN) -> DataFrame:
                 keys, doc = np.unique(k, return_inverse=True)
                 docs = np.empty(len(keys), DOC)
                 docs["k"] = keys
-                at, group, side = spread(h, k.view(U), table.value[cell_of(h, BITS)])
-                yield from packer.add(docs, group, doc[at], side, pos[at])
+                yield from packer.add(docs, h, doc, dealt.value[cell_of(h, BITS)], pos=pos)
         yield from packer.flush()
 
-    def meet(group: pa.Table) -> pa.Table:
-        docs, token, doc, side, pos = unpack(group, DOC, True)
-        pos = pos.astype(np.int64)
-        found = []
-        for i, j in pairs_in_runs(token):
-            keep = (doc[i] != doc[j]) & ((side[i] == 0) & (side[j] == 0) | (side[i] + side[j] == 3))
-            i, j = i[keep], j[keep]
-            swap = docs["k"][doc[i]] > docs["k"][doc[j]]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            block = np.stack([doc[i], doc[j], pos[i] - pos[j], pos[i]], axis=1)
-            found.append(_one_per_alignment(block, gram))
-        all_ = _one_per_alignment(np.concatenate(found), gram) if found else np.empty((0, 4), np.int64)
-        a, b, diagonal, at = all_.T
-        return pa.table({"ka": docs["k"][a], "kb": docs["k"][b], "pa": at, "pb": at - diagonal})
-
     packed = kept.filter("slice < 0").select("counts", "k", "pos").mapInArrow(post, Packer.SCHEMA)
-    return packed.groupBy("bucket").applyInArrow(meet, "ka long, kb long, pa long, pb long")
+    return meet(packed, buckets, DOC, lambda *x: _places(*x, gram), [(c, pa.int64()) for c in ("ka", "kb", "pa", "pb")], placed=True)
+
+
+def _places(docs: np.ndarray, token: np.ndarray, doc: np.ndarray, pos: np.ndarray, pairs: Pairs, gram: int) -> list[np.ndarray]:
+    # Postings of one token and document stand together.  All but the first of more than PLACES are left out, the
+    # first then stands for all of them, as a run does.
+    new = np.concatenate([[True], (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])]) if len(token) else np.empty(0, bool)
+    cut = np.flatnonzero(new)
+    size = np.diff(np.append(cut, len(token)))
+    run = np.logical_or.reduceat(pos < 0, cut) if len(cut) else np.empty(0, bool)
+    many = np.repeat(run | (size > PLACES), size)
+    kept = ~many | new
+    found = []
+    for i, j in pairs:
+        keep = (doc[i] != doc[j]) & kept[i] & kept[j]
+        i, j = i[keep], j[keep]
+        swap = docs["k"][doc[i]] > docs["k"][doc[j]]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        all_ = many[i] | many[j]
+        at = np.where(all_, -1, pos[i])
+        found.append(_one_per_alignment(np.stack([doc[i], doc[j], np.where(all_, 0, pos[i].astype(np.int64) - pos[j]), at], axis=1), gram))
+    block = _one_per_alignment(np.concatenate(found), gram) if found else np.empty((0, 4), np.int64)
+    a, b, diagonal, at = block.T
+    return [docs["k"][a], docs["k"][b], at, np.where(at < 0, -1, at - diagonal)]
 
 
 def _one_per_alignment(block: np.ndarray, gram: int) -> np.ndarray:
@@ -151,7 +172,7 @@ def _one_per_alignment(block: np.ndarray, gram: int) -> np.ndarray:
     block = block[order]
     near = np.zeros(len(block), bool)
     # Anchors of one alignment that touch or overlap lie in the same repeat: extension from the first reaches them.
-    near[1:] = (block[1:, :3] == block[:-1, :3]).all(axis=1) & (block[1:, 3] - block[:-1, 3] <= gram)
+    near[1:] = (block[1:, :3] == block[:-1, :3]).all(axis=1) & ((block[1:, 3] < 0) == (block[:-1, 3] < 0)) & (block[1:, 3] - block[:-1, 3] <= gram)
     return block[~near]
 
 
@@ -183,28 +204,58 @@ def repeats(a: str, b: str, places: list[tuple[int, int]], span: int) -> list[tu
     return sorted(out)
 
 
-def shared_repeats(rows: DataFrame, span: int = SPAN) -> DataFrame:
-    """``ka, kb, repeats array<struct<a, b, n>>``: maximal repeats of pairs of different texts."""
+def whole_common(a: str, b: str, span: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """The parts ``(start, end)`` of each text that lie in common runs of ``span`` or more, from the set of all such runs."""
+    x, y = gram_hashes(code_points(a), span), gram_hashes(code_points(b), span)
+    in_x, in_y = np.flatnonzero(np.isin(x, y)), np.flatnonzero(np.isin(y, x))
+    if not len(in_x):
+        return [], []
+    i = int(in_x[0])
+    j = int(np.flatnonzero(y == x[i])[0])
+    if a[i : i + span] != b[j : j + span]:  # hashes of different runs
+        return [], []
+    return joined([(int(p), int(p) + span) for p in in_x]), joined([(int(p), int(p) + span) for p in in_y])
+
+
+def joined(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted parts with those that touch or overlap made one."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(parts):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def shared_parts(rows: DataFrame, span: int = SPAN) -> DataFrame:
+    """``ka, kb, sa, sb array<struct<s, e>>``: of each pair of different texts the parts that lie in common maximal repeats."""
     places = checkpoint(meetings(rows, span))
     wanted = checkpoint(places.select(F.col("ka").alias("k")).union(places.select("kb")).distinct())
     texts = restrict(rows, wanted, "k", wanted.count()).dropDuplicates(["k"])
-    # A pair has one place per alignment and anchor; the list is bounded by the shorter of its two texts.
-    pairs = places.groupBy("ka", "kb").agg(F.collect_set(F.struct("pa", "pb")).alias("places"))
+    # A pair has at most PLACES squared places for an anchor of its texts, so the list is linear in the shorter one.
+    pairs = places.groupBy("ka", "kb").agg(F.min("pa").alias("least"), F.collect_set(F.struct("pa", "pb")).alias("places"))
     both = pairs.join(texts.select(F.col("k").alias("ka"), F.col("text").alias("ta")), "ka").join(texts.select(F.col("k").alias("kb"), F.col("text").alias("tb")), "kb")
 
     def extend(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            ka, kb, runs = [], [], []
-            for x, y, p, a, b in zip(*(batch.column(c).to_pylist() for c in ("ka", "kb", "places", "ta", "tb"))):
-                found = repeats(a, b, [(q["pa"], q["pb"]) for q in p], span)
-                if found:
+            ka, kb, sa, sb = [], [], [], []
+            for x, y, least, p, a, b in zip(*(batch.column(c).to_pylist() for c in ("ka", "kb", "least", "places", "ta", "tb"))):
+                if least < 0:
+                    left, right = whole_common(a, b, span)
+                else:
+                    found = repeats(a, b, [(q["pa"], q["pb"]) for q in p], span)
+                    left, right = joined([(i, i + n) for i, _, n in found]), joined([(j, j + n) for _, j, n in found])
+                if left:
                     ka.append(x)
                     kb.append(y)
-                    runs.append([{"a": i, "b": j, "n": n} for i, j, n in found])
-            kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([pa.array(ka, pa.int64()), pa.array(kb, pa.int64()), pa.array(runs, kind)], ["ka", "kb", "repeats"])
+                    sa.append([{"s": s, "e": e} for s, e in left])
+                    sb.append([{"s": s, "e": e} for s, e in right])
+            kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([pa.array(ka, pa.int64()), pa.array(kb, pa.int64()), pa.array(sa, kind), pa.array(sb, kind)], ["ka", "kb", "sa", "sb"])
 
-    return both.select("ka", "kb", "places", "ta", "tb").mapInArrow(extend, "ka long, kb long, repeats array<struct<a:long,b:long,n:long>>")
+    part = "array<struct<s:long,e:long>>"
+    return both.select("ka", "kb", "least", "places", "ta", "tb").mapInArrow(extend, f"ka long, kb long, sa {part}, sb {part}")
 
 
 def _rows(df: DataFrame, text: str, span: int) -> DataFrame:
@@ -220,7 +271,7 @@ def sharing_pairs(df: DataFrame, id: str = "id", text: str = "content", span: in
 
     Rows repeated with one id count once; null ids, null and shorter texts are in no pair.
     """
-    found = shared_repeats(_rows(df, text, span), span).select("ka", "kb")
+    found = shared_parts(_rows(df, text, span), span).select("ka", "kb")
     of = checkpoint(_members(df, id, text, span).select("k", "id"))
     across = found.join(of.select(F.col("k").alias("ka"), F.col("id").alias("x")), "ka").join(of.select(F.col("k").alias("kb"), F.col("id").alias("y")), "kb").filter("x <> y")
     inside = pairs_within(of, ["k"], "id").select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
@@ -228,24 +279,31 @@ def sharing_pairs(df: DataFrame, id: str = "id", text: str = "content", span: in
 
 
 def shared_per_record(df: DataFrame, id: str = "id", text: str = "content", span: int = SPAN) -> DataFrame:
-    """One row per record with a shared run: ``id, n_chars, shared_chars, shared_share, class_id, texts``.
+    """One row per record with a shared run: ``id, n_chars, shared_chars, shared_share, class_id, copies, links``.
 
     ``shared_chars`` counts the code points that lie in a run of ``span`` or more found in another
-    record; ``texts`` lists the class ids of the other texts it shares them with, and records with equal
-    ``class_id`` hold the same text (a text held by two records is shared as a whole).  So a group of
-    copies costs one row per record and each link between different texts stands on both sides.
+    record.  Records with equal ``class_id`` hold the same text (a text held by two records is shared as
+    a whole); ``copies`` is their number and ``links`` that of the other classes it shares runs with, which
+    :func:`sharing_classes` lists.
     """
-    links = checkpoint(shared_repeats(_rows(df, text, span), span))
+    pairs = checkpoint(shared_parts(_rows(df, text, span), span))
     of = checkpoint(_members(df, id, text, span))
-    sides = links.select(F.col("ka").alias("k"), F.col("kb").alias("other"), F.expr("transform(repeats, r -> struct(r.a AS s, r.a + r.n AS e))").alias("runs")).union(
-        links.select(F.col("kb").alias("k"), F.col("ka").alias("other"), F.expr("transform(repeats, r -> struct(r.b AS s, r.b + r.n AS e))").alias("runs"))
-    )
-    # Union of the runs of one text, swept in order of their starts.
-    swept = sides.select("k", F.explode("runs").alias("r")).select("k", "r.*").distinct()
+    sides = pairs.select(F.col("ka").alias("k"), F.col("sa").alias("parts")).union(pairs.select("kb", "sb"))
+    # Union of the parts of one text, swept in order of their starts.
+    swept = sides.select("k", F.explode("parts").alias("r")).select("k", "r.*").distinct()
     order = W.partitionBy("k").orderBy("s", "e").rowsBetween(W.unboundedPreceding, -1)
     covered = swept.withColumn("reach", F.coalesce(F.max("e").over(order), F.lit(0))).groupBy("k").agg(F.sum(F.greatest(F.lit(0), F.col("e") - F.greatest("s", "reach"))).alias("covered"))
-    partners = sides.groupBy("k").agg(F.array_sort(F.collect_set("other")).alias("texts"))
-    copies = of.groupBy("k").agg(F.countDistinct("id").alias("copies"))
-    out = of.join(copies, "k").join(covered, "k", "left").join(partners, "k", "left").filter("copies > 1 OR covered > 0")
+    links = sides.groupBy("k").agg(F.count("*").alias("links"))
+    copies = of.groupBy("k").agg(F.count("*").alias("copies"))
+    out = of.join(copies, "k").join(covered, "k", "left").join(links, "k", "left").filter("copies > 1 OR covered > 0")
     shared = F.when(F.col("copies") > 1, F.col("n").cast("long")).otherwise(F.col("covered"))
-    return out.select("id", F.col("n").cast("long").alias("n_chars"), shared.alias("shared_chars"), (shared / F.col("n")).alias("shared_share"), F.col("k").alias("class_id"), F.coalesce("texts", F.array().cast("array<bigint>")).alias("texts"))
+    return out.select("id", F.col("n").cast("long").alias("n_chars"), shared.alias("shared_chars"), (shared / F.col("n")).alias("shared_share"), F.col("k").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def sharing_classes(df: DataFrame, text: str = "content", span: int = SPAN) -> DataFrame:
+    """``class_a < class_b, shared_a, shared_b``: pairs of different texts with a common run, and how much of each lies in such."""
+
+    def total(parts: str) -> Column:
+        return F.aggregate(F.transform(parts, lambda p: p["e"] - p["s"]), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    return shared_parts(_rows(df, text, span), span).select(F.col("ka").alias("class_a"), F.col("kb").alias("class_b"), total("sa").alias("shared_a"), total("sb").alias("shared_b"))

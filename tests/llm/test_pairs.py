@@ -91,6 +91,51 @@ def test_hot_tokens_in_blocks_give_the_same_pairs():
     assert got == {(i, j) for i, j in itertools.combinations(range(500), 2) if key[i] == key[j]}
 
 
+def test_blocks_and_dealt_out_tokens_change_nothing(spark, frame, corpus, passages, monkeypatch):
+    monkeypatch.setattr(_postings, "BLOCK_DOCS", 2)
+    assert {tuple(r) for r in near_duplicates.similar_pairs(frame).collect()} == pairs(corpus, similar)
+    monkeypatch.setattr(_postings, "SWAMPED", 1)
+    monkeypatch.setattr(_postings, "LEAST_POSTINGS", 50)
+    assert {tuple(r) for r in near_duplicates.similar_pairs(frame).collect()} == pairs(corpus, similar)
+    texts, df = passages
+    assert {tuple(r) for r in shared_spans.sharing_pairs(df).collect()} == {p for p in itertools.combinations(sorted(texts), 2) if share(texts[p[0]], texts[p[1]])}
+
+
+@pytest.mark.parametrize("load", [1, 1_000, 1_000_000_000])
+def test_cold_postings_are_never_copied(load):
+    counts = np.full(1 << 12, load)  # every cell is full, none stands out
+    token = np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    docs = np.zeros(100, shared_spans.DOC)
+    docs["k"] = np.arange(100)
+    packer = _postings.Packer(7_000_000)  # far more buckets than postings
+    dealt = _postings.shares(counts)[_postings.cell_of(token, 12)]
+    rows = [b for part in (packer.add(docs, token, np.arange(5000) % 100, dealt), packer.flush()) for b in part]
+    assert sum(len(t) for b in rows for t in b.column("token").to_pylist()) == 5000 * 4
+    hot = counts.copy()
+    hot[5] += 3 * _postings.SWAMPED
+    assert (_postings.shares(hot) > 1).sum() == 1
+
+
+def test_runs_of_one_character_cost_no_more_than_other_text(spark):
+    a, b = "." * 100_000 + " one", "two " + "." * 100_000
+    row, pos, h = shared_spans.runs_joined(*shared_spans.anchors([a, "ab" * 50_000]), 200)
+    assert len(row) < 10 and (pos < 0).any()
+    df = spark.createDataFrame([("a", a), ("b", b), ("c", "." * 150), ("d", "-" * 300)], "id string, content string")
+    assert [tuple(r) for r in shared_spans.sharing_pairs(df).collect()] == [("a", "b")]
+    got = {r.id: r.shared_chars for r in shared_spans.shared_per_record(df).collect()}
+    assert got == {"a": 100_000, "b": 100_000}
+
+
+def test_a_passage_repeated_in_both_texts(spark):
+    line = "".join(random.choice("abcdefgh") for _ in range(230))
+    a, b = (x.join([line] * 300) for x in ("1", "2"))
+    df = spark.createDataFrame([("a", a), ("b", b)], "id string, content string")
+    assert shared_spans.meetings(shared_spans._rows(df, "content", 200)).count() <= 20
+    assert {r.id: r.shared_chars for r in shared_spans.shared_per_record(df).collect()} == {"a": 69_000, "b": 69_000}
+    classes = shared_spans.sharing_classes(df).collect()
+    assert len(classes) == 1 and classes[0].shared_a == classes[0].shared_b == 69_000
+
+
 def test_pairs_within_blocks(spark):
     df = spark.createDataFrame([(i % 3, i, "v") for i in range(90)], "key int, row int, other string")
     got = [(r.key, r.a.row, r.b.row) for r in _blocks.pairs_within(df, ["key"], "row", per_block=7).collect()]

@@ -8,6 +8,7 @@ end with this block, and their words are compared one by one.  All documents of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from ._arrays import Words, batches, ranges
 
 RUN = 13
@@ -94,15 +96,34 @@ class Patterns:
         return words.doc[begin[true]], begin[true], pattern[true]
 
 
-def _passes(items: DataFrame, item: str, text: str, limit: int) -> list[list[tuple]]:
-    """The items with at least one letter, in groups of at most ``limit`` code points."""
-    total = items.agg(F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("n")).first()["n"]
-    n = max(1, -(-int(total) // limit))
+def _groups(items: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in ranges of ids of at most ``limit`` code points (or one id), each read when it is asked for."""
     rows = items.select(F.col(item).alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL AND text IS NOT NULL").distinct()
-    if n == 1:
-        return [[(r["id"], r["text"]) for r in rows.collect()]]
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    return [[(r["id"], r["text"]) for r in rows.filter(part == i).collect()] for i in range(n)]
+    if (rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0) <= limit:
+        yield [(r["id"], r["text"]) for r in rows.collect()]
+        return
+    rows = checkpoint(rows)
+    firsts, held = [], limit
+    # Ids and sizes pass the driver one partition at a time; only the ranges' beginnings are kept.
+    for r in rows.groupBy("id").agg(F.sum(F.length("text")).alias("n")).orderBy("id").toLocalIterator():
+        if held + r["n"] > limit:
+            firsts.append(r["id"])
+            held = 0
+        held += r["n"]
+    for lo, hi in zip(firsts, [*firsts[1:], None]):
+        part = rows.filter(F.col("id") >= lo) if hi is None else rows.filter((F.col("id") >= lo) & (F.col("id") < hi))
+        yield [(r["id"], r["text"]) for r in part.collect()]
+
+
+_built: dict[tuple, Patterns] = {}
+
+
+def _patterns(name: tuple, group: list[tuple[int, str]], run: int) -> Patterns:
+    """The tables of a group, built once per worker and kept until another group comes."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Patterns([i for i, _ in group], [t for _, t in group], run)
+    return _built[name]
 
 
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", run: int = RUN, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
@@ -110,18 +131,25 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
     ``n_runs`` counts the places where a run of the item begins, ``matched_words`` the words of the
     document inside such runs.  Items (a held-out set that does not grow) are read by the driver in
-    groups of bounded size, one pass over the documents each.  Null, empty and shorter texts match
+    groups of bounded size, one at a time, with one pass over the documents each, whose rows are checkpointed
+    before the next group is read.  Null, empty and shorter texts match
     nothing; a null document or item id is left out; rows of one document id are taken together.
     """
     spark: SparkSession = documents.sparkSession
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(documents[key].alias("key"), documents[text].alias("text")).filter("key IS NOT NULL AND text IS NOT NULL")
     out: DataFrame | None = None
-    for group in _passes(items, item, item_text, items_per_pass):
-        shared = spark.sparkContext.broadcast(group)  # at most items_per_pass code points
-
-        def run_batches(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            patterns = Patterns([i for i, _ in shared.value], [t for _, t in shared.value], run)
+    several, last = False, None
+    for group in _groups(items, item, item_text, items_per_pass):
+        if last is not None:
+            out = checkpoint(found) if not several else checkpoint(out.unionByName(found))
+            several = True
+            last.unpersist()
+        shared = last = spark.sparkContext.broadcast(group)  # at most items_per_pass code points
+        name = (uuid.uuid4().hex, run)
+
+        def run_batches(it: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            patterns = _patterns(name, shared.value, run)
             for batch in batches(it, "text"):
                 words = Words(batch.column("text").to_pylist())
                 doc, begin, pattern = patterns.search(words)
@@ -141,7 +169,7 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                 )
 
         found = rows.mapInArrow(run_batches, f"key {kind}, item long, n_runs long, matched_words long")
-        out = found if out is None else out.unionByName(found)
+    out = out.unionByName(found) if several else found
     merged = out.groupBy("key", "item").agg(F.sum("n_runs").alias("n_runs"), F.sum("matched_words").alias("matched_words"))
     return merged.withColumnsRenamed({"key": key, "item": item}) if key != item else merged
 

@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "p4_canonical": lambda s, d: lookalikes.canonical_texts(_chunks(s, d)),
     "p6_found": lambda s, d: markup.clean_records(_chunks(s, d)).select("id"),
     "p6_clean": lambda s, d: markup.clean_records(_chunks(s, d)),
+    "p6_templates": lambda s, d: markup.host_templates(_chunks(s, d)),
     "p7_ids": lambda s, d: tokenizing.encode(_documents(s, d)),
     "p8_found": lambda s, d: leakage.leaked_pairs(_documents(s, d), table(s, d, "eval_items")),
     "p8_leaks": lambda s, d: leakage.leaks(_documents(s, d), table(s, d, "eval_items")),

@@ -3,6 +3,7 @@
 import collections
 import os
 import random
+import time
 
 import pytest
 import regex
@@ -148,13 +149,54 @@ def test_template_classes(spark):
     assert markup.clean_records(spark.createDataFrame(rows, schema).limit(0)).count() == 0
 
 
+def test_template_blocks_are_told_apart(spark):
+    page = "== Public Notice ==\n<p>issued by <b>the Authority</b></p>\
+'''Date:''' {} {}\n"
+    rows = [(f"p{i}", "h", page.format(i + 1, w), 1) for i, w in enumerate(["May", "June", "July", "March"])] + [("other", "h2", "== Public Notice ==", 1)]
+    df = spark.createDataFrame(rows, "id string, doc_id string, content string, loaded_at int")
+    out = {r.id: r for r in markup.clean_records(df).collect()}
+    assert out["p2"].text == "Date: 3 July" and [b.template for b in out["p2"].blocks] == [True, True, False] and out["p2"].blocks[1].text == "issued by the Authority"
+    assert out["other"].text == "Public Notice"
+    templates = markup.host_templates(df).collect()
+    assert [(t.host, t.pages) for t in templates] == [("h", 4)] and {"w:Notice", "m:wiki_emphasis", "m:<b>"} <= set(templates[0].tokens)
+    assert markup.host_templates(df.limit(0)).count() == 0
+
+
+OPENERS = ["''a ", "**a ", "__a ", "~~a ", "![a ", "[http://a ", "\\(a ", "\\[a ", "<!DOCTYPE ", "<?xml ", "<code> a", "`a ``a ```a ", "$$a ", "{{a|", "<pre>", "<script ", "\\begin{equation}", "  ", "== a ", "&amp;", "&lt;b&gt;"]
+
+
+def test_openers_without_closers_take_linear_time():
+    slow = []
+    for opener in OPENERS:
+        text = "x " + opener * (60_000 // len(opener))
+        began = time.process_time()
+        markup.tokens(text), markup.convert(text)
+        if time.process_time() - began > 2:  # a quadratic scan takes many times that
+            slow.append(opener)
+    assert not slow
+
+
+def test_masking_openers_changes_nothing_around_them():
+    pieces = ["''it''", "''a", "**b**", "**a", "a**b**c", "__u__", "__u", "`c`", "``c` d``", "`", "[l](u)", "![i](u)", "![i", "[http://x y]", "[http://x", "\\(x\\)", "\\(", "<code>x</code>", "<b>", "\n", "w"]
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 60)))
+        whole = [(m.start(), m.end(), m.lastgroup) for m in markup.MARKUP.finditer(text)]
+        few, markup.FEW = markup.FEW, 0
+        try:
+            masked = markup.tokens(text)
+        finally:
+            markup.FEW = few
+        assert whole == masked, text
+
+
 def test_slots_hold_what_stands_outside_and_within_tokens():
     text = "Ref 7\n== Notice 12 ==\n'''Date:''' 3 May\nplain line"
     page = markup.page_tokens(text)
     assert [t for t, _, _ in page] == ["m:wiki_heading", "w:Notice", "w:12", "m:/wiki_heading", "m:wiki_emphasis", "w:Date", "m:/wiki_emphasis", "w:3", "w:May"]
     names = {"m:wiki_heading", "w:Notice", "m:/wiki_heading", "m:wiki_emphasis", "w:Date", "m:/wiki_emphasis"}
-    assert markup.slots(text, page, {1: names}) == (["Ref 7", "12", "3 May plain line"], 1)
-    assert markup.slots(text, page, {}) == ([], 0)
+    assert markup.slots(text, page, {1: names}) == (["Ref 7", "12", "3 May plain line"], 1, {"Notice", "Date"})
+    assert markup.slots(text, page, {}) == ([], 0, set())
     assert [t for t, _, _ in markup.page_tokens("<b>x</b> one <i>two\nthree")] == ["m:<b>", "w:x", "m:</b>", "w:one", "m:<i>", "w:two"]
 
 

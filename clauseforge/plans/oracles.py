@@ -120,6 +120,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT l_orderkey::VARCHAR, (3 * ln + 3)::INT, l_orderkey || '#cha-II/reg-' || l_linenumber || '/cla-' || l_suppkey || '/sub-a', 'subclause', 'a', 'its subclause', 'and more' FROM li""",
     "q_lineage_events": """SELECT DISTINCT l_orderkey || '#reg-' || l_linenumber || '/cla-' || l_suppkey AS id, 'substitute' AS action, 'am-' || l_orderkey AS doc, strftime(o_orderdate, '%Y-%m-%d') AS date,
         'For clause ' || l_suppkey || ' of regulation ' || l_linenumber || ', the following shall be substituted' AS detail, true AS verified FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey""",
+    "q_audit_latest": f"WITH {_DOCS} SELECT slug, title, year FROM cur WHERE regexp_matches(coalesce(title, ''), '(?i)amendment') AND NOT regexp_matches(coalesce(title, ''), '(?i)as amended|incorporating') ORDER BY year DESC NULLS FIRST, slug LIMIT 20",
     "q_log_rows": f"WITH {_DOCS} SELECT _source.liferay_id AS id, slug, type, title, dept, year::VARCHAR AS year, dateIssued AS date_issued, attachments::VARCHAR AS attachments, to_json(_source.pdf_links)::VARCHAR AS pdf_links FROM cur",
     "q_payloads": f"WITH {_DOCS}, {_RECORDS}, n AS (SELECT doc_id, count(*) AS n FROM rec GROUP BY 1) SELECT slug, coalesce(n, 0)::INT AS chunks FROM cur LEFT JOIN n ON doc_id = slug WHERE lede IS NOT NULL",
     "q_embed": f"WITH {_RECORDS} SELECT id, content IS NOT NULL AND {_DEVA.format('content')} / greatest(length(content), 1) < 0.3 AS embedded FROM rec",

@@ -115,8 +115,7 @@ def _order_lines(s: SparkSession, d: str, line: Column) -> DataFrame:
 
 
 def _edges(df: DataFrame, *columns: str) -> DataFrame:
-    rows = grammar.explode_edges(grammar.parse_amendments(df))
-    return rows.select("doc_id", F.col("line_no").alias("n"), *columns)
+    return grammar.edges(df).select("doc_id", F.col("line_no").alias("n"), *columns)
 
 
 def grammar_unit_sub(s: SparkSession, d: str) -> DataFrame:
@@ -157,17 +156,14 @@ def lineage_events(s: SparkSession, d: str) -> DataFrame:
     texts = _order_lines(s, d, outline).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     found = segmentation.once_per_identity(segmentation.segment(texts)).withColumnRenamed("doc_id", "slug")
     line = F.format_string("For clause %d of regulation %d, the following shall be substituted", F.col("l_suppkey"), F.col("l_linenumber"))
-    parsed = grammar.parse_amendments(_order_lines(s, d, line))
-    orders = table(s, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
-    amendments = parsed.join(orders, "doc_id", "left").select(
-        F.col("doc_id").cast("string").alias("slug"), F.concat(F.lit("am-"), F.col("doc_id").cast("string")).alias("doc"), "date", F.lit(0).cast("long").alias("pos"), "edges", "unparsed"
-    )
-    folded = lineage.fold(amendments, found.select("slug", "seq", "id", "level", "ref", "heading", "path"))
-    return lineage.flatten_provisions(folded).select("id", F.explode("events").alias("e")).select("id", "e.action", "e.doc", "e.date", "e.detail", "e.verified")
+    instruments = table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("slug"), F.col("o_orderkey").cast("string").alias("doc"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit(0).alias("pos"))
+    read = grammar.read(_order_lines(s, d, line).withColumn("doc_id", F.col("doc_id").cast("string")))
+    folded = lineage.fold(instruments, read, found.select("slug", "seq", "id", "level", "ref", "heading", "path"))
+    return lineage.flatten_provisions(folded).select("id", F.explode("events").alias("e")).select("id", "e.action", F.concat(F.lit("am-"), "e.doc").alias("doc"), "e.date", "e.detail", "e.verified")
 
 
 def _parsed_documents(s: SparkSession, d: str) -> DataFrame:
-    return grammar.explode_edges(grammar.parse_amendments(table(s, d, "documents").filter("text IS NOT NULL"), "doc_id", "text"))
+    return grammar.edges(table(s, d, "documents").filter("text IS NOT NULL"), "doc_id", "text")
 
 
 def upserted(s: SparkSession, d: str) -> DataFrame:
@@ -253,6 +249,8 @@ QUERIES: dict[str, Query] = {
     "q_lineage_notes": lambda s, d: build(s, d)[1],
     "q_lineage_stats": lambda s, d: build(s, d)[2],
     "q_audit": lambda s, d: audit.audit(current_docs(s, d), records(s, d)).drop("edge_list"),
+    "q_audit_counters": lambda s, d: audit.counters(audit.audit(current_docs(s, d), records(s, d))),
+    "q_audit_latest": lambda s, d: audit.audited(current_docs(s, d), limit=20).select("slug", "title", "year"),
     "q_audit_summary": lambda s, d: audit.summary(audit.audit(current_docs(s, d), records(s, d))),
     "q_log_rows": lambda s, d: files.log_rows(current_docs(s, d), NOW).select("id", "slug", "type", "title", "dept", "year", "date_issued", "attachments", "pdf_links"),
     "q_payloads": lambda s, d: files.payloads(

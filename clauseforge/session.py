@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "clauseforge", cores: str | int = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -54,5 +55,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bound(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df`` with further columns that are computed once: a generator of one row, through which no filter is pushed down
+    with a copy of their expressions."""
+    return df.select("*", F.explode(F.array(F.struct(*columns))).alias("__bound")).select("*", "__bound.*").drop("__bound")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,13 +3,11 @@ from pyspark.sql import functions as F
 
 from clauseforge.operators import audit, grammar, lineage, resolution, segmentation
 
-G = grammar.Grammar()
 
-
-def only(line, **want):
-    (e,) = G.parse(line)["edges"]
-    assert {k: e[k] for k in want} == want
-    return e
+def parsed(spark, texts):
+    """Each text's edges and unread lines."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(2)
+    return [r for r in grammar.parse_amendments(df).orderBy("doc_id").collect()]
 
 
 CASES = [
@@ -38,25 +36,27 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("line,want", CASES, ids=[str(i) for i in range(len(CASES))])
-def test_rules(line, want):
-    only(line, **want)
+def test_rules(spark):
+    assert {r.name for r in grammar.RULES} - {w.get("rule") for _, w in CASES} <= {"word_sub_paired", "unit_sub"} | {None}
+    for row, (line, want) in zip(parsed(spark, [c for c, _ in CASES]), CASES):
+        (e,) = row.edges
+        assert {k: e[k] for k in want} == want, line
 
 
-def test_expansion_and_scope():
+def test_expansion_and_scope(spark):
     text = "\n".join([
         "SCHEDULE II shall be omitted", "clause 1 shall be omitted", "3. In Part II of the Schedule I of principal Regulations:", "clause 2 shall be omitted",
         "4. clause 3 shall be omitted", "the words “a” and “b” shall be substituted with “c” respectively", "clauses (c) and (d) shall be omitted. After section 9, the following shall be inserted", "foo shall be deleted",
     ])
-    got = G.parse(text)
-    rows = [(e["target_ref"] or e["anchor"], e["scope"]) for e in got["edges"]]
+    (got,) = parsed(spark, [text])
+    rows = [(e["target_ref"] or e["anchor"], e["scope"]) for e in got.edges]
     assert rows == [("1", "Schedule II"), ("2", "Part II of the Schedule I of principal Regulations"), ("3", "Schedule II"), (None, "Schedule II"), ("(c)", "Schedule II"), ("(d)", "Schedule II"), ("9", "Schedule II")]
-    assert got["edges"][3]["confidence"] == "low" and got["edges"][3]["news"] == ["c"] and got["unparsed"] == ["foo shall be deleted"]
+    assert got.edges[3].confidence == "low" and got.edges[3].news == ["c"] and got.unparsed == ["foo shall be deleted"]
 
 
 def test_spans_never_overlap():
     body = "for the words “a”, the words “b” shall be substituted and clause 3 shall be omitted, after clause 4, the following shall be inserted"
-    spans = [m.span() for _, m in G.spans(body)]
+    spans = [m.span() for _, m in grammar.Matcher().spans(body)]
     assert spans == sorted(spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and len(spans) == 3
 
 
@@ -77,33 +77,40 @@ def test_segmentation(spark):
     assert [(r.level, r.path) for r in kept] == [("regulation", "reg-1"), ("clause", "reg-1/cla-1"), ("regulation", "reg-2"), ("clause", "reg-2/cla-1")]
 
 
-def provision(path, level, ref, seq):
-    return {"id": f"p#{path}", "level": level, "ref": ref, "heading": "", "path": path, "seq": seq}
+BASE = [("reg-7", "regulation", "7"), ("reg-7/cla-a", "clause", "a"), ("reg-8", "regulation", "8"), ("reg-8/cla-a", "clause", "a")]
 
 
-BASE = [provision("reg-7", "regulation", "7", 0), provision("reg-7/cla-a", "clause", "a", 1), provision("reg-8", "regulation", "8", 2), provision("reg-8/cla-a", "clause", "a", 3)]
+def folded(spark, *lines):
+    held = spark.createDataFrame([("p", n, f"p#{path}", level, ref, "", path) for n, (path, level, ref) in enumerate(BASE)], "slug string, seq int, id string, level string, ref string, heading string, path string")
+    read = grammar.read(spark.createDataFrame([("am", "\n".join(lines))], "doc_id string, text string"))
+    instruments = spark.createDataFrame([("p", "am", "2024-01-01", 0)], "slug string, doc string, date string, pos int")
+    (r,) = lineage.fold(instruments, read, held).collect()
+    return r, (r.amendments[0].applied, r.amendments[0].unresolved)
 
 
-def apply(*lines):
-    line = lineage.Lineage("p", [dict(p) for p in BASE])
-    edges = [e for x in lines for e in G.parse(x)["edges"]]
-    result = line.apply("am", "2024-01-01", edges)
-    return line, result
+def test_anchoring(spark):
+    line, done = folded(spark, "In regulation 8: clause (a) of regulation 8 shall be omitted")
+    assert done == (1, 0) and [p.id for p in line.provisions if p.events] == ["p#reg-8/cla-a"]
+    line, done = folded(spark, "For the clause (z) of regulation 9, the following shall be substituted")  # a ghost under its scope
+    assert done == (1, 0) and line.provisions[-1].path == "reg-9/cla-Z" and line.provisions[-1].ghost
+    line, done = folded(spark, "For the clause (z) of regulation 9, the following shall be substituted", "For the clause (z) of regulation 10, the following shall be substituted")
+    assert [p.path for p in line.provisions if p.ghost] == ["reg-9/cla-Z", "reg-10/cla-Z"]
+    line, done = folded(spark, "In regulation 7, for the words “a”, the words “b” shall be substituted", "In regulation 7, for the words “a”, the words “b” shall be substituted")
+    assert done == (1, 0) and line.stats["events_deduped"] == 1 and line.provisions[0].events[0].action == "amend" and line.provisions[0].events[0].detail == "“a” → “b”"
+    line, done = folded(spark, "After clause (a) of regulation 8, the following shall be inserted", "After clause (a) of regulation 8, the following shall be inserted")
+    assert done == (2, 0) and [p.path for p in line.provisions if p.introducedBy] == ["reg-8/cla-AFTERA"]
+    line, done = folded(spark, "clause (a) shall be omitted")
+    assert done == (0, 1) and "low confidence" in line.notes[0].note
 
 
-def test_anchoring():
-    line, done = apply("In regulation 8: clause (a) of regulation 8 shall be omitted")
-    assert done == (1, 0) and [p["id"] for p in line.provisions if p["events"]] == ["p#reg-8/cla-a"]
-    line, done = apply("For the clause (z) of regulation 9, the following shall be substituted")  # a ghost under its scope
-    assert done == (1, 0) and line.provisions[-1]["path"] == "reg-9/cla-Z" and line.provisions[-1]["ghost"]
-    line, done = apply("For the clause (z) of regulation 9, the following shall be substituted", "For the clause (z) of regulation 10, the following shall be substituted")
-    assert [p["path"] for p in line.provisions if p["ghost"]] == ["reg-9/cla-Z", "reg-10/cla-Z"]
-    line, done = apply("In regulation 7, for the words “a”, the words “b” shall be substituted", "In regulation 7, for the words “a”, the words “b” shall be substituted")
-    assert done == (1, 0) and line.stats["events_deduped"] == 1 and line.provisions[0]["events"][0]["action"] == "amend"
-    line, done = apply("After clause (a) of regulation 8, the following shall be inserted", "After clause (a) of regulation 8, the following shall be inserted")
-    assert done == (2, 0) and [p["path"] for p in line.provisions if p["introducedBy"]] == ["reg-8/cla-AFTERA"]
-    line, done = apply("clause (a) shall be omitted")
-    assert done == (0, 1) and "low confidence" in line.notes[0][2]
+def test_units_and_words(spark):
+    rows = [("section", "27A(5)(a)", "In clause (b) of Schedule II", "sub-clause"), (None, "(c)", None, None), ("note", None, "note 3 of Part I", "form")]
+    got = spark.createDataFrame(rows, "unit string, ref string, said string, other string").select(
+        lineage.units_of_reference(F.col("unit"), F.col("ref")).alias("a"), lineage.units_in(F.col("said")).alias("b"), lineage.units_of_reference(F.col("other"), F.lit("(a)(b)")).alias("c")
+    ).collect()
+    assert [[tuple(u) for u in r.a] for r in got] == [[("regulation", "27A"), ("clause", "5"), ("subclause", "A")], [("regulation", "C")], []]
+    assert [[tuple(u) for u in r.b] for r in got] == [[("clause", "B"), ("schedule", "II")], [], [("part", "I")]]
+    assert [tuple(u) for u in got[0].c] == [("subclause", "A"), ("subclause", "B")]
 
 
 def test_resolution(spark):
@@ -156,8 +163,8 @@ def test_audit(spark):
 
 
 def test_detail_and_empty(spark):
-    e = G.parse("the words “x” shall be omitted")["edges"][0]
-    assert lineage.edge_detail(e) == "“x” omitted"
+    said = [(r.action, r.words) for r in grammar.edges(spark.createDataFrame([("a", "the words “x” shall be omitted")], "doc_id string, text string")).select("action", lineage.event_words().alias("words")).collect()]
+    assert said == [("omit", "“x” omitted")]
     none = spark.createDataFrame([], "doc_id string, text string")
     assert grammar.parse_amendments(none).count() == 0 and segmentation.segment(none).count() == 0
     assert grammar.parse_amendments(spark.createDataFrame([("a", None)], none.schema)).select(F.size("edges")).first()[0] == 0

@@ -20,8 +20,9 @@ PIECE = 12
 def containing_pairs(wanted: DataFrame, titles: DataFrame) -> DataFrame:
     """``src, dst, n``: pairs where one bare title holds the other (``wanted``: src, text; ``titles``: dst, bare).
 
-    Instead of comparing all with all, the shorter string's first ``PIECE`` characters are looked up among
-    all pieces of the longer: an equi join.  Titles shorter than that (at most 36 letters and digits to the
+    Instead of comparing all with all, one piece of ``PIECE`` characters of the shorter string is looked up among
+    all pieces of the longer: an equi join.  It is the shorter's rarest piece by the counts of the longer's, so openings
+    that many titles share join nothing.  Titles shorter than that (at most 36 letters and digits to the
     power of their length, and in practice a handful) are looked up by all pieces of their own length.
     """
 
@@ -30,15 +31,20 @@ def containing_pairs(wanted: DataFrame, titles: DataFrame) -> DataFrame:
         spread = df.join(F.broadcast(sizes)).filter(n >= F.col("size"))  # sizes: at most PIECE rows
         return spread.select(key, text, "size", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), n - F.col("size") + 1), lambda i: F.substr(F.col(text), i, F.col("size"))))).alias("piece"))
 
-    def heads(df: DataFrame, key: str, text: str) -> DataFrame:
-        return df.select(key, text, F.least(F.length(text), F.lit(PIECE)).alias("size"), F.substring(text, 1, PIECE).alias("piece"))
+    def heads(df: DataFrame, key: str, text: str, among: DataFrame) -> DataFrame:
+        size = F.least(F.length(text), F.lit(PIECE))
+        own = df.select(key, text, size.alias("size"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(F.col(text), i, size)))).alias("piece"))
+        counts = among.groupBy("size", "piece").agg(F.count("*").alias("n"))
+        ranked = own.join(counts, ["size", "piece"], "left").groupBy(key, text, "size").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("r"))
+        return ranked.filter("r.n > 0").select(key, text, "size", "r.piece")  # one that stands nowhere is held nowhere
 
     def sizes_of(df: DataFrame, text: str) -> DataFrame:
         return df.filter(f"length({text}) > 0").select(F.least(F.length(text), F.lit(PIECE)).alias("size")).distinct()
 
     titles, wanted = titles.filter("bare <> ''"), wanted.filter("text <> ''")
-    inside = heads(titles, "dst", "bare").join(pieces(wanted, "src", "text", sizes_of(titles, "bare")), ["size", "piece"]).filter(F.col("text").contains(F.col("bare")))
-    around = heads(wanted, "src", "text").join(pieces(titles, "dst", "bare", sizes_of(wanted, "text")), ["size", "piece"]).filter(F.col("bare").contains(F.col("text")))
+    of_wanted, of_titles = pieces(wanted, "src", "text", sizes_of(titles, "bare")), pieces(titles, "dst", "bare", sizes_of(wanted, "text"))
+    inside = heads(titles, "dst", "bare", of_wanted).join(of_wanted, ["size", "piece"]).filter(F.col("text").contains(F.col("bare")))
+    around = heads(wanted, "src", "text", of_titles).join(of_titles, ["size", "piece"]).filter(F.col("bare").contains(F.col("text")))
     both = inside.select("src", "dst", F.length("bare").alias("n")).union(around.select("src", "dst", F.length("bare").alias("n")))
     return both.distinct()
 
@@ -93,3 +99,33 @@ def relation_maps(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("src").alias("slug"), "kind", F.col("dst").alias("to")).union(edges.select(F.col("dst").alias("slug"), F.element_at(inverse, F.col("kind")).alias("kind"), F.col("src").alias("to")))
     lists = both.groupBy("slug", "kind").agg(F.array_sort(F.collect_set("to")).alias("to"))
     return lists.groupBy("slug").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "to")))).alias("relations"))
+
+
+# States that a withdrawal does not change, and the one it gives.
+NOT_IN_FORCE, WITHDRAWN = ["Repealed", "Superseded", "Lapsed"], "Withdrawn"
+
+
+def written_back(docs: DataFrame, edges: DataFrame, pending: DataFrame) -> DataFrame:
+    """``docs`` with what :func:`mine` found: ``relations`` and ``_source.pending_relations`` extended, ``status`` of what is withdrawn.
+
+    A relation that a document has already is not added again, nor is its inverse then; inverse targets follow in order
+    of their documents' ``pos``.  A list in a document is as long as the document has relations.
+    """
+    held = docs.select(F.col("slug").alias("src"), F.col("pos").alias("at"), "relations")
+    have = F.coalesce(F.try_element_at("relations", F.col("kind")), F.array().cast("array<string>"))
+    fresh = edges.join(held, "src").filter(~F.array_contains(have, F.col("dst"))).select("src", "kind", "dst", "at")
+    inverse = F.create_map(*[F.lit(x) for kv in INVERSE.items() for x in kv])
+    both = fresh.select(F.col("src").alias("slug"), "kind", F.col("dst").alias("to"), "at").union(fresh.select("dst", F.element_at(inverse, F.col("kind")), "src", "at"))
+    lists = both.groupBy("slug", "kind").agg(F.array_sort(F.collect_set(F.struct("at", "to"))).alias("to"))
+    added = lists.groupBy("slug").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.transform("to", lambda x: x["to"]).alias("to")))).alias("__added"))
+    opened = pending.groupBy("slug").agg(F.array_sort(F.collect_set("pending")).alias("__open"))
+    gone = edges.filter("kind = 'withdraws'").select(F.col("dst").alias("slug"), F.lit(True).alias("__gone")).distinct()
+    none = F.array().cast("array<string>")
+    empty = F.create_map().cast("map<string,array<string>>")
+    merged = F.map_zip_with(F.coalesce("relations", empty), F.coalesce("__added", empty), lambda _, a, b: F.concat(F.coalesce(a, none), F.array_except(F.coalesce(b, none), F.coalesce(a, none))))
+    waiting = F.coalesce("_source.pending_relations", none)
+    out = docs.join(added, "slug", "left").join(opened, "slug", "left").join(gone, "slug", "left").withColumns({
+        "relations": merged, "_source": F.col("_source").withField("pending_relations", F.concat(waiting, F.array_except(F.coalesce("__open", none), waiting))),
+        "status": F.when(F.col("__gone") & ~F.coalesce(F.col("status").isin(NOT_IN_FORCE), F.lit(False)), F.lit(WITHDRAWN)).otherwise(F.col("status")),
+    })
+    return out.select(*docs.columns)

@@ -54,7 +54,55 @@ _ORDER_LINES = "li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDE
 _SCORE = "CASE WHEN len(w) = 0 OR len(t) = 0 THEN 0.0 ELSE (CASE WHEN o = len(w) OR o = len(t) THEN greatest(o / (len(w) + len(t) - o), 0.99) ELSE o / (len(w) + len(t) - o) END) * (CASE WHEN len(y) > 0 AND NOT list_has_any(y, t) THEN 0.5 ELSE 1 END) END"
 _STRIPPED = r"regexp_replace(regexp_replace(coalesce(title, ''), '\((?:first|second|third|fourth|fifth|sixth|\d+(?:st|nd|rd|th))?\s*amendment\)?', '', 'gi'), '\bamendments?\b', '', 'gi')"
 
+_BARE = "regexp_replace(lower({0}), '[^a-z0-9]+', '', 'g')"
+_COMPACT = r"regexp_replace(upper(regexp_replace({0}, '\s+', '', 'g')), '^\.+|\.+$', '', 'g')"
+_ORDINAL = r"(?i)\(\s*(?:first|second|third|fourth|fifth|sixth|seventh|eighth|ninth|tenth|\d+(?:st|nd|rd|th))\s+amendment\s*\)"
+
+
+def _relations(docs: str) -> str:
+    """Relations by comparing all titles with all: ``ed`` the edges, ``op`` what stays open, ``md`` the documents."""
+    return rf"""{docs}, t AS (SELECT slug, pos, coalesce(title, '') AS title, refNo, status, relations, _source.pending_relations AS waiting FROM md),
+        b AS (SELECT *, {_BARE.format('title')} AS bare, regexp_matches(title, '{_ORDINAL}') AS am,
+              nullif(regexp_extract(title, '(?i)withdrawal\s+of\s+circular\s+no\.?\s*([A-Z0-9/&\.\- ]+?)(?:\s+dated\b|,|$)', 1), '') AS wd,
+              nullif(regexp_extract(title, '(?i)modificat\w*\s+(?:to|in|of)\s+(?:the\s+)?(.+?)(?:\s+dated\b|$)', 1), '') AS said FROM t),
+        n AS (SELECT {_COMPACT.format('refNo')} AS key, max_by(slug, pos) AS dst FROM b WHERE coalesce(refNo, '') <> '' GROUP BY 1),
+        w AS (SELECT slug, wd, CASE WHEN dst <> slug THEN dst END AS dst FROM b LEFT JOIN n ON key = {_COMPACT.format('wd')} WHERE wd IS NOT NULL),
+        x AS (SELECT slug, 'amends' AS kind, NULL AS said, regexp_replace({_BARE.format(f"regexp_replace(title, '{_ORDINAL}', '', 'g')")}, '(19|20)\d{{2}}$', '') AS f FROM b WHERE am
+              UNION ALL SELECT slug, 'modifies', said, {_BARE.format('said')} FROM b WHERE said IS NOT NULL AND NOT am),
+        y AS (SELECT x.slug AS src, kind, b.slug AS dst FROM x, b WHERE b.slug <> x.slug AND (contains(bare, f) OR contains(f, bare)) AND CASE kind WHEN 'amends' THEN bare <> '' AND NOT b.am ELSE f <> '' END
+              QUALIFY row_number() OVER (PARTITION BY x.slug, kind ORDER BY length(bare) DESC, b.pos) = 1),
+        ed AS (SELECT slug AS src, 'withdraws' AS kind, dst FROM w WHERE dst IS NOT NULL UNION ALL SELECT * FROM y),
+        op AS (SELECT DISTINCT slug, 'withdraws:' || trim(wd) AS pending FROM w WHERE dst IS NULL
+               UNION SELECT slug, CASE kind WHEN 'amends' THEN 'amends:?' ELSE 'modifies:' || left(said, 60) END FROM x WHERE slug NOT IN (SELECT src FROM y WHERE y.kind = x.kind))"""
+
+
+_WRITTEN = """fr AS (SELECT src, kind, dst FROM ed JOIN t ON slug = src WHERE NOT list_contains(coalesce(relations[kind], []), dst)),
+        al AS (SELECT slug, e.key AS kind, e.value AS had FROM (SELECT slug, unnest(map_entries(relations)) AS e FROM t)),
+        ad AS (SELECT src AS slug, kind, dst AS go FROM fr UNION SELECT dst, CASE kind WHEN 'withdraws' THEN 'withdrawnBy' WHEN 'amends' THEN 'amendedBy' ELSE 'modifiedBy' END, src FROM fr),
+        ag AS (SELECT slug, kind, list(go) AS new FROM ad GROUP BY ALL),
+        mm AS (SELECT coalesce(al.slug, ag.slug) AS slug, coalesce(al.kind, ag.kind) AS kind, list_sort(list_concat(coalesce(had, []), list_filter(coalesce(new, []), lambda z: NOT list_contains(coalesce(had, []), z)))) AS l
+               FROM al FULL JOIN ag ON al.slug = ag.slug AND al.kind = ag.kind),
+        ms AS (SELECT slug, string_agg(kind || ':' || coalesce(array_to_string(l, ','), ''), ';' ORDER BY kind || ':' || coalesce(array_to_string(l, ','), '')) AS relations FROM mm GROUP BY slug),
+        po AS (SELECT slug, list(pending) AS p FROM op GROUP BY slug)
+        SELECT t.slug, CASE WHEN t.slug IN (SELECT dst FROM ed WHERE kind = 'withdraws') AND coalesce(t.status, '') NOT IN ('Repealed', 'Superseded', 'Lapsed') THEN 'Withdrawn' ELSE t.status END AS status,
+        coalesce(ms.relations, '') AS relations, coalesce(array_to_string(list_sort(list_concat(coalesce(waiting, []), list_filter(coalesce(p, []), lambda z: NOT list_contains(coalesce(waiting, []), z)))), ';'), '') AS pending
+        FROM t LEFT JOIN ms ON ms.slug = t.slug LEFT JOIN po ON po.slug = t.slug"""
+_MADE = """mk AS (SELECT 's' AS k, s_suppkey AS n, 0 AS shift, 'Cover of ' || s_name || ' Regulations, 2016' AS title, 'IRDAI/REF/' || s_suppkey AS refNo FROM supplier
+        UNION ALL SELECT 'c', c_custkey, 10000000, 'Withdrawal of circular no. IRDAI/REF/' || c_custkey || ' dated today', NULL FROM customer
+        UNION ALL SELECT 'a', s_suppkey, 20000000, 'Cover of ' || s_name || ' (First Amendment) Regulations, 2018', NULL FROM supplier
+        UNION ALL SELECT 'm', s_suppkey, 30000000, 'Modification to the Cover of ' || s_name || ' Regulations dated 5 May', NULL FROM supplier),
+        md AS (SELECT k || '-' || n AS slug, n + shift AS pos, title, refNo, CASE WHEN n % 7 = 0 THEN 'Lapsed' ELSE 'Existing' END AS status,
+               CASE WHEN n % 3 = 0 THEN CASE WHEN k = 'a' THEN map(['amends'], [['s-' || n]]) ELSE map([]::VARCHAR[], []::VARCHAR[][]) END END AS relations, {'pending_relations': NULL::VARCHAR[]} AS _source FROM mk)"""
+_CUR = f"{_DOCS}, md AS (SELECT * FROM cur)"
+
 ORACLES: dict[str, str] = {
+    "p5_changes": f"WITH {_ORPHANS} SELECT * FROM o",
+    "q_relations": f"WITH {_relations(_CUR)} SELECT src, kind, dst FROM ed",
+    "q_relations_open": f"WITH {_relations(_CUR)} SELECT slug, pending FROM op",
+    "q_relations_made": f"WITH {_relations(_MADE)} SELECT src, kind, dst FROM ed",
+    "q_relations_made_open": f"WITH {_relations(_MADE)} SELECT slug, pending FROM op",
+    "q_docs_after_relations": f"WITH {_relations(_CUR)}, {_WRITTEN}",
+    "q_made_after_relations": f"WITH {_relations(_MADE)}, {_WRITTEN}",
     "p5_found": f"WITH {_ORPHANS} SELECT * FROM o",
     "p5_report": f"WITH {_ORPHANS} SELECT src_table, period, count(*) AS orphans, count(DISTINCT ref_slug) AS slugs FROM o GROUP BY ALL",
     "q_chunk_windows": f"WITH {_BODY}, {_WINDOWS}, {_cut('w')} SELECT doc_id, part, content FROM k",

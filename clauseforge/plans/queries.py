@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import text as X
 from ..operators import audit, chunking, classify, corpus, embedding, grammar, lineage, orphans, relations, resolution, segmentation
-from ..session import checkpoint_dir, table
+from ..session import checkpoint, checkpoint_dir, table
 from ..sources import files
 from ..streaming import listing as stream
 
@@ -195,7 +196,43 @@ def _folder_with(s: SparkSession, path: str, base: str) -> str:
     return f"{base}/in"
 
 
+def orphans_by_changes(s: SparkSession, d: str) -> DataFrame:
+    """Problem 5 by change deltas: from nothing to what was there by the middle of the time, then to all of it."""
+    docs, provisions = table(s, d, "docs"), table(s, d, "provisions")
+    seen, built = orphans.iso_micros(F.col("_source.last_seen")), orphans.micros(provisions, "built_at")
+    middle = docs.agg(((F.min(seen) + F.max(seen)) / 2).alias("t")).join(F.broadcast(provisions.agg(((F.min(built) + F.max(built)) / 2).alias("u"))))  # one row
+    early = docs.join(F.broadcast(middle.select("t"))).filter(seen <= F.col("t")).drop("t"), provisions.join(F.broadcast(middle.select("u"))).filter(built <= F.col("u")).drop("u")
+    return orphans.orphans_after_changes([early, (docs, provisions)])
+
+
+def made_documents(s: SparkSession, d: str) -> DataFrame:
+    """Documents with titles that name each other, from the suppliers and customers."""
+
+    def rows(name: str, key: str, kind: str, shift: int, title: Column, ref: Column) -> DataFrame:
+        t = table(s, d, name)
+        source = F.from_json(F.lit("{}"), schemas.SOURCE)
+        held = F.when(F.lit(kind == "a"), F.create_map(F.lit("amends"), F.array(F.concat(F.lit("s-"), key)))).otherwise(F.create_map().cast("map<string,array<string>>"))
+        return t.select(F.concat(F.lit(f"{kind}-"), key).alias("slug"), (F.col(key) + shift).cast("bigint").alias("pos"), title.alias("title"), ref.alias("refNo"), F.when(F.col(key) % 7 == 0, F.lit("Lapsed")).otherwise(F.lit("Existing")).alias("status"),
+                        F.when(F.col(key) % 3 == 0, held).alias("relations"), source.alias("_source"))
+
+    none = F.lit(None).cast("string")
+    return (
+        rows("supplier", "s_suppkey", "s", 0, F.concat(F.lit("Cover of "), "s_name", F.lit(" Regulations, 2016")), F.concat(F.lit("IRDAI/REF/"), "s_suppkey"))
+        .unionByName(rows("customer", "c_custkey", "c", 10_000_000, F.concat(F.lit("Withdrawal of circular no. IRDAI/REF/"), "c_custkey", F.lit(" dated today")), none))
+        .unionByName(rows("supplier", "s_suppkey", "a", 20_000_000, F.concat(F.lit("Cover of "), "s_name", F.lit(" (First Amendment) Regulations, 2018")), none))
+        .unionByName(rows("supplier", "s_suppkey", "m", 30_000_000, F.concat(F.lit("Modification to the Cover of "), "s_name", F.lit(" Regulations dated 5 May")), none))
+    )
+
+
+def docs_after_relations(s: SparkSession, d: str, docs: DataFrame) -> DataFrame:
+    docs = checkpoint(docs)
+    out = relations.written_back(docs, *relations.mine(docs))
+    flat = F.array_join(F.array_sort(F.transform(F.map_entries("relations"), lambda e: F.concat(e["key"], F.lit(":"), F.array_join(F.array_sort(e["value"]), ",")))), ";")
+    return out.select("slug", "status", flat.alias("relations"), F.array_join(F.array_sort("_source.pending_relations"), ";").alias("pending"))
+
+
 QUERIES: dict[str, Query] = {
+    "p5_changes": orphans_by_changes,
     "p5_found": lambda s, d: orphans.orphan_references(table(s, d, "docs"), table(s, d, "provisions")),
     "p5_report": lambda s, d: orphans.orphan_report(orphans.orphan_references(table(s, d, "docs"), table(s, d, "provisions"))),
     "q_chunk_windows": lambda s, d: chunk_windows(s, d, False),
@@ -228,6 +265,10 @@ QUERIES: dict[str, Query] = {
     "q_title_variants": title_variants,
     "q_relations": lambda s, d: relations.mine(current_docs(s, d))[0],
     "q_relations_open": lambda s, d: relations.mine(current_docs(s, d))[1],
+    "q_relations_made": lambda s, d: relations.mine(made_documents(s, d))[0],
+    "q_relations_made_open": lambda s, d: relations.mine(made_documents(s, d))[1],
+    "q_docs_after_relations": lambda s, d: docs_after_relations(s, d, current_docs(s, d)),
+    "q_made_after_relations": lambda s, d: docs_after_relations(s, d, made_documents(s, d)),
     "q_pending": lambda s, d: corpus.pending(current_docs(s, d), table(s, d, "documents").select("slug", F.when(F.length("text") > 0, F.sha1("text")).alias("content_sha1"))).select("slug"),
     "q_chunks_of_known": lambda s, d: records(s, d).join(current_docs(s, d).filter("status <> 'Deleted'").select(F.col("slug").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.count("*").alias("chunks")),
     "q_top_provisions": lambda s, d: provisions(s, d).withColumn("rank", F.row_number().over(W.partitionBy("doc").orderBy("seq", "id"))).filter("rank <= 10").select("doc", "id", "rank"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -64,12 +62,12 @@ def upsert_batch(store: SnapshotStore, rows: DataFrame, batch: int, now: str, as
     store.write(batch, snapshot)
 
 
-def start(spark: SparkSession, source: str, store: SnapshotStore, checkpoint: str, now: str, as_of_year: int, backfill: bool = True) -> StreamingQuery:
+def start(spark: SparkSession, source: str, store: SnapshotStore, checkpoint: str, now: str, as_of_year: int, backfill: bool = True, files_per_batch: int = 1000) -> StreamingQuery:
     """Read listing rows (parquet files of ``source``) and keep the corpus up to date.
 
     With ``backfill`` all that is there is taken in and the query ends; else it goes on as files arrive.
     """
-    rows = spark.readStream.schema(schemas.LISTING).option("maxFilesPerTrigger", 1 if os.environ.get("CLAUSEFORGE_SINGLE_FILES") else 1000).parquet(source)
+    rows = spark.readStream.schema(schemas.LISTING).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: upsert_batch(store, df, n, now, as_of_year))
     return (writer.trigger(availableNow=True) if backfill else writer.trigger(processingTime="30 seconds")).start()
 
@@ -86,10 +84,3 @@ def sightings_per_day(rows: DataFrame, delay: str = "1 day") -> DataFrame:
     """
     per_id = rows.withWatermark("scanned_at", delay).groupBy(F.window("scanned_at", "1 day"), "category", "liferay_id").agg(F.count("*").alias("n"))
     return per_id.groupBy("window", "category").agg(F.sum("n").alias("sightings"), F.count("liferay_id").alias("ids"))
-
-
-def orphan_deltas_batch(state: DataFrame | None, changes: DataFrame) -> DataFrame:
-    """Move the orphan state on by one batch of signed changes."""
-    from ..operators.orphans import apply_deltas
-
-    return apply_deltas(changes, state)

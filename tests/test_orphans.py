@@ -63,9 +63,26 @@ def test_empty_tables(spark):
 
 
 def test_state_moves_on_by_deltas(spark):
-    schema = "slug string, d_refs long, d_exists long, live_us long"
-    first = orphans.apply_deltas(spark.createDataFrame([("a", 1, 0, None), ("a", 1, 0, None), ("b", 1, 0, None), ("b", 0, 1, 5)], schema))
-    assert {tuple(r) for r in orphans.orphan_keys(first).collect()} == {("a", 2)}
-    second = orphans.apply_deltas(spark.createDataFrame([("a", 0, 1, 9), ("b", 0, -1, None), ("c", 1, 0, None), ("c", -1, 0, None)], schema), first)
-    assert {tuple(r) for r in orphans.orphan_keys(second).collect()} == {("b", 1)}
-    assert {r.slug for r in second.collect()} == {"a", "b"}  # c has left the state
+    schema = "ref_slug string, delta long"
+    first = orphans.apply_deltas(spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], schema))
+    assert {tuple(r) for r in first.collect()} == {("a", 2), ("b", 1)}
+    second = orphans.apply_deltas(spark.createDataFrame([("b", -1), ("c", 1), ("c", -1), ("d", 1)], schema), first)
+    assert {tuple(r) for r in second.collect()} == {("a", 2), ("d", 1)}  # b and c have left the state
+    records = spark.createDataFrame([("a", 5, 1)], "slug string, first_us long, delta long")
+    assert {tuple(r) for r in orphans.orphan_keys(orphans.slug_state(second, records)).collect()} == {("d", 1)}
+
+
+def test_changes_give_what_a_full_computation_gives(spark):
+    t = dt.datetime(2025, 5, 1)
+    docs = [
+        docs_of(spark, [doc(1, "a", relations={"amends": ["b", "x", "late"]}), doc(2, "b"), doc(3, "c", relations={"amends": ["a"]})]),
+        # a loses a reference, b is deleted, late arrives later than the reference, x arrives in time, c is gone
+        docs_of(spark, [doc(1, "a", relations={"amends": ["b", "late", "x"]}), doc(2, "b", status="Deleted"), doc(4, "late", first="2025-07-01T00:00:00Z"), doc(5, "x")]),
+        docs_of(spark, [doc(1, "a", relations={"amends": ["late"]}), doc(4, "late", first="2025-01-01T00:00:00Z")]),
+    ]
+    provisions = [spark.createDataFrame(rows, PROVISIONS) for rows in ([("c", "p1", [event("b")], t, "")], [("c", "p1", [event("b")], t, ""), ("a", "p2", None, t, "")], [("a", "p2", None, t, "")])]
+    for n in (1, 2, 3):
+        want = {tuple(r) for r in orphans.orphan_references(docs[n - 1], provisions[n - 1]).collect()}
+        assert {tuple(r) for r in orphans.orphans_after_changes(list(zip(docs, provisions))[:n]).collect()} == want
+        assert n == 3 or want
+    assert want == set()

@@ -44,7 +44,37 @@ QUERIES: dict[str, Query] = {
 
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{M}}\p{{N}}]+')"
 
+# Texts by the least record that holds them, their runs of 200 and which of these stand in other texts.
+_SPANS = """r AS (SELECT DISTINCT id, content FROM chunks WHERE id IS NOT NULL AND length(content) >= 200),
+        c AS (SELECT content, min(id) AS class_id, count(*) AS copies FROM r GROUP BY content),
+        g AS (SELECT class_id, unnest(range(1, length(content) - 198)) AS p, unnest(list_transform(range(1, length(content) - 198), lambda i: substr(content, i, 200))) AS x FROM c),
+        h AS (SELECT *, hash(x) AS h FROM g), s AS (SELECT h, x FROM h GROUP BY ALL HAVING count(DISTINCT class_id) > 1), m AS (SELECT class_id, p, h, x FROM h SEMI JOIN s USING (h, x)),
+        q AS (SELECT DISTINCT a.class_id AS a, b.class_id AS b, a.p FROM m a JOIN m b ON a.h = b.h AND a.x = b.x AND a.class_id <> b.class_id)"""
+_WITHIN = "sum(least(200, coalesce(nx - p, 200)))::BIGINT"
+_NEAR = r"""r AS (SELECT DISTINCT id, content, attachment FROM chunks WHERE id IS NOT NULL AND content IS NOT NULL),
+        w AS (SELECT content, min(id) AS class_id, regexp_extract_all(content, '[^ \t\n]+') AS w FROM r GROUP BY content),
+        s AS (SELECT DISTINCT class_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w WHERE len(w) >= 40),
+        n AS (SELECT class_id, count(*) AS n FROM s GROUP BY class_id),
+        o AS (SELECT a.class_id AS x, b.class_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.class_id <> b.class_id GROUP BY ALL),
+        e AS (SELECT x, y FROM o JOIN n i ON i.class_id = x JOIN n j ON j.class_id = y WHERE 10 * o >= 7 * (i.n + j.n - o))"""
+
 ORACLES: dict[str, str] = {
+    "p2_records": f"""WITH {_SPANS}, v AS (SELECT a AS class_id, p, lead(p) OVER (PARTITION BY a ORDER BY p) AS nx FROM (SELECT DISTINCT a, p FROM q)), k AS (SELECT class_id, {_WITHIN} AS n FROM v GROUP BY 1), l AS (SELECT a AS class_id, count(DISTINCT b) AS links FROM q GROUP BY 1)
+        SELECT id, length(content) AS n_chars, CASE WHEN copies > 1 THEN length(content) ELSE n END AS shared_chars, CASE WHEN copies > 1 THEN length(content) ELSE n END / length(content) AS shared_share, class_id, copies, coalesce(links, 0) AS links
+        FROM r JOIN c USING (content) LEFT JOIN k USING (class_id) LEFT JOIN l USING (class_id) WHERE copies > 1 OR n > 0""",
+    "p2_classes": f"""WITH {_SPANS}, v AS (SELECT a, b, p, lead(p) OVER (PARTITION BY a, b ORDER BY p) AS nx FROM q), k AS (SELECT a, b, {_WITHIN} AS n FROM v GROUP BY ALL)
+        SELECT i.a AS class_a, i.b AS class_b, i.n AS shared_a, j.n AS shared_b FROM k i JOIN k j ON i.a = j.b AND i.b = j.a WHERE i.a < i.b""",
+    "p3_groups": f"""WITH RECURSIVE {_NEAR}, z AS (SELECT x AS start, x AS seen FROM e UNION SELECT z.start, e.y FROM z JOIN e ON e.x = z.seen), t AS (SELECT start AS class_id, min(seen) AS root FROM z GROUP BY start),
+        l AS (SELECT x AS class_id, count(*) AS links FROM e GROUP BY x), u AS (SELECT r.id, r.attachment, coalesce(root, class_id) AS root, coalesce(links, 0) AS links FROM r JOIN w USING (content) LEFT JOIN t USING (class_id) LEFT JOIN l USING (class_id) WHERE len(w.w) >= 40),
+        y AS (SELECT root, min(id) AS group_id, count(DISTINCT id) AS records, count(DISTINCT coalesce(attachment, chr(0))) AS attachments FROM u GROUP BY root)
+        SELECT DISTINCT id, group_id, links, records, attachments FROM u JOIN y USING (root) WHERE records > 1""",
+    "p8_leaks": f"""
+        WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents WHERE text IS NOT NULL),
+        i AS (SELECT item_id, {_WORDS.format('text')} AS w FROM eval_items WHERE text IS NOT NULL),
+        dr AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS k, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS g FROM d),
+        ir AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS g FROM i),
+        m AS (SELECT DISTINCT doc_id, item_id, k FROM dr JOIN ir USING (g)), n AS (SELECT *, lead(k) OVER (PARTITION BY doc_id, item_id ORDER BY k) AS nx FROM m)
+        SELECT doc_id, item_id, count(*) AS n_runs, sum(least(13, coalesce(nx - k, 13)))::BIGINT AS matched_words FROM n GROUP BY ALL""",
     "p1_found": "SELECT DISTINCT id FROM chunks WHERE length(content) > 1800",
     "p2_found": """
         WITH r AS (SELECT DISTINCT id, content FROM chunks WHERE id IS NOT NULL AND length(content) >= 200),

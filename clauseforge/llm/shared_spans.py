@@ -283,8 +283,8 @@ def shared_per_record(df: DataFrame, id: str = "id", text: str = "content", span
 
     ``shared_chars`` counts the code points that lie in a run of ``span`` or more found in another
     record.  Records with equal ``class_id`` hold the same text (a text held by two records is shared as
-    a whole); ``copies`` is their number and ``links`` that of the other classes it shares runs with, which
-    :func:`sharing_classes` lists.
+    a whole): it is the least id among them, ``copies`` is their number and ``links`` that of the other classes it
+    shares runs with, which :func:`sharing_classes` lists.
     """
     pairs = checkpoint(shared_parts(_rows(df, text, span), span))
     of = checkpoint(_members(df, id, text, span))
@@ -294,16 +294,22 @@ def shared_per_record(df: DataFrame, id: str = "id", text: str = "content", span
     order = W.partitionBy("k").orderBy("s", "e").rowsBetween(W.unboundedPreceding, -1)
     covered = swept.withColumn("reach", F.coalesce(F.max("e").over(order), F.lit(0))).groupBy("k").agg(F.sum(F.greatest(F.lit(0), F.col("e") - F.greatest("s", "reach"))).alias("covered"))
     links = sides.groupBy("k").agg(F.count("*").alias("links"))
-    copies = of.groupBy("k").agg(F.count("*").alias("copies"))
+    copies = of.groupBy("k").agg(F.count("*").alias("copies"), F.min("id").alias("class_id"))
     out = of.join(copies, "k").join(covered, "k", "left").join(links, "k", "left").filter("copies > 1 OR covered > 0")
     shared = F.when(F.col("copies") > 1, F.col("n").cast("long")).otherwise(F.col("covered"))
-    return out.select("id", F.col("n").cast("long").alias("n_chars"), shared.alias("shared_chars"), (shared / F.col("n")).alias("shared_share"), F.col("k").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    return out.select("id", F.col("n").cast("long").alias("n_chars"), shared.alias("shared_chars"), (shared / F.col("n")).alias("shared_share"), "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def sharing_classes(df: DataFrame, text: str = "content", span: int = SPAN) -> DataFrame:
-    """``class_a < class_b, shared_a, shared_b``: pairs of different texts with a common run, and how much of each lies in such."""
+def sharing_classes(df: DataFrame, id: str = "id", text: str = "content", span: int = SPAN) -> DataFrame:
+    """``class_a < class_b, shared_a, shared_b``: pairs of different texts with a common run, by the least id that holds each,
+    and how much of each lies in such runs."""
 
     def total(parts: str) -> Column:
         return F.aggregate(F.transform(parts, lambda p: p["e"] - p["s"]), F.lit(0).cast("long"), lambda a, x: a + x)
 
-    return shared_parts(_rows(df, text, span), span).select(F.col("ka").alias("class_a"), F.col("kb").alias("class_b"), total("sa").alias("shared_a"), total("sb").alias("shared_b"))
+    names = checkpoint(_members(df, id, text, span).groupBy("k").agg(F.min("id").alias("name")))
+    pairs = shared_parts(_rows(df, text, span), span).select("ka", "kb", F.struct(total("sa").alias("n")).alias("a"), F.struct(total("sb").alias("n")).alias("b"))
+    named = pairs.join(names.withColumnsRenamed({"k": "ka", "name": "na"}), "ka").join(names.withColumnsRenamed({"k": "kb", "name": "nb"}), "kb")
+    # Two texts of one id (deliveries that differ) are no pair of records.
+    ends = named.filter("na <> nb").select(F.array_sort(F.array(F.struct("na", "a.n"), F.struct(F.col("nb").alias("na"), "b.n"))).alias("e"))
+    return ends.select(F.col("e")[0]["na"].alias("class_a"), F.col("e")[1]["na"].alias("class_b"), F.col("e")[0]["n"].alias("shared_a"), F.col("e")[1]["n"].alias("shared_b"))

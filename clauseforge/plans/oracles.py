@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from ..operators.classify import ENTITY_RULES, SLUG_PREFIXES
-
 _ORPHANS = r"""
     d AS (SELECT lower(regexp_replace(slug, '^\s+|\s+$', '', 'g')) AS k, slug, status, relations, pos,
                  (_source.last_seen)::TIMESTAMPTZ AS last, (_source.first_seen)::TIMESTAMPTZ AS first FROM docs),
@@ -48,8 +46,16 @@ def _cut(source: str) -> str:
     return f"c AS (SELECT doc_id, i, {_STRIP.format('substr(body, (s + 1)::INT, greatest(e - s, 0)::INT)')} AS content FROM {source}), k AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS part, content FROM c WHERE content <> '')"
 
 
-_ENTITY = "CASE " + " ".join(f"WHEN regexp_matches(lower(title), '{p}') THEN '{{}}'" for p, *_ in ENTITY_RULES) + " ELSE '{}' END"
-_PREFIX = "CASE type " + " ".join(f"WHEN '{t}' THEN '{p}'" for t, p in SLUG_PREFIXES.items()) + " ELSE 'doc' END"
+# Written out here once more, so that a wrong table in the operator shows.
+_KINDS = """(1, 'broker', 'Intermediaries', 'Insurance Brokers'), (2, 'corporate agent', 'Intermediaries', 'Corporate Agents'), (3, 'web aggregator', 'Intermediaries', 'Web Aggregators'),
+        (4, 'surveyor|loss assessor', 'Intermediaries', 'Surveyors & Loss Assessors'), (5, 'third party administrator|tpa\\b', 'Intermediaries', 'Third Party Administrators (TPAs)'),
+        (6, 'insurance marketing firm|imf\\b', 'Intermediaries', 'Insurance Marketing Firms (IMFs)'), (7, 'repositor', 'Intermediaries', 'Insurance Repositories'), (8, 'misp\\b|motor insurance service provider', 'Intermediaries', 'MISPs'),
+        (9, 'reinsur|lloyd', 'Insurers', 'Reinsurers'), (10, 'standalone health|health insur', 'Insurers', 'Standalone Health Insurers'), (11, 'life insur', 'Insurers', 'Life Insurers'), (12, 'general insur', 'Insurers', 'General Insurers'),
+        (13, 'insurer', 'Insurers', '—'), (14, 'corporate governance|advertis|grievance|policyholder', 'Common', 'Applicable across multiple regulated entities')"""
+# Alternatives that may begin inside a word.
+_LOOSE = "n IN (10, 11, 12, 14) OR n = 4 AND regexp_matches(lower(title), 'loss assessor') OR n = 6 AND regexp_matches(lower(title), 'insurance marketing firm') OR n = 5 AND FALSE OR n = 8 AND regexp_matches(lower(title), 'motor insurance service provider') OR n = 9 AND regexp_matches(lower(title), 'lloyd')"
+_PREFIX = """CASE type WHEN 'Acts' THEN 'act' WHEN 'Rules' THEN 'rules' WHEN 'Regulations' THEN 'reg' WHEN 'Notifications' THEN 'not' WHEN 'Master Circulars' THEN 'mc' WHEN 'Circulars' THEN 'cir'
+        WHEN 'Guidelines' THEN 'gl' WHEN 'Orders' THEN 'ord' WHEN 'Notices' THEN 'ntc' WHEN 'Exposure Drafts' THEN 'ed' ELSE 'doc' END"""
 _ORDER_LINES = "li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) - 1 AS ln FROM lineitem)"
 _SCORE = "CASE WHEN len(w) = 0 OR len(t) = 0 THEN 0.0 ELSE (CASE WHEN o = len(w) OR o = len(t) THEN greatest(o / (len(w) + len(t) - o), 0.99) ELSE o / (len(w) + len(t) - o) END) * (CASE WHEN len(y) > 0 AND NOT list_has_any(y, t) THEN 0.5 ELSE 1 END) END"
 _STRIPPED = r"regexp_replace(regexp_replace(coalesce(title, ''), '\((?:first|second|third|fourth|fifth|sixth|\d+(?:st|nd|rd|th))?\s*amendment\)?', '', 'gi'), '\bamendments?\b', '', 'gi')"
@@ -125,10 +131,12 @@ ORACLES: dict[str, str] = {
     "q_dates": r"""SELECT DISTINCT date_issued, strftime(try_strptime(replace(regexp_extract(date_issued, '\d{1,2}[-/]\d{1,2}[-/]\d{4}'), '/', '-'), '%d-%m-%Y'), '%Y-%m-%d') AS parsed,
         CASE WHEN regexp_matches(left(date_issued, 10), '^\d{4}-\d{1,2}-\d{1,2}$') THEN strftime(try_strptime(left(date_issued, 10), '%Y-%m-%d'), '%Y-%m-%d') END AS safe FROM listing_rows""",
     "q_surrogate_ids": f"SELECT DISTINCT {_SURROGATE} AS liferay_id, category FROM listing_rows",
-    "q_classify": f"""SELECT DISTINCT title, category, CASE WHEN lower(title) LIKE '%master circular%' THEN 'Master Circulars' WHEN lower(title) LIKE '%exposure draft%' THEN 'Exposure Drafts'
+    "q_classify": f"""WITH k(n, p, entity, subtype) AS (VALUES {_KINDS}), t AS (SELECT DISTINCT title FROM listing_rows),
+        f AS (SELECT title, arg_min(entity, n) AS entity, arg_min(subtype, n) AS subtype FROM t, k WHERE regexp_matches(lower(title), '\\b(?:' || p || ')') OR regexp_matches(lower(title), p) AND ({_LOOSE}) GROUP BY title)
+        SELECT DISTINCT l.title, category, CASE WHEN lower(l.title) LIKE '%master circular%' THEN 'Master Circulars' WHEN lower(l.title) LIKE '%exposure draft%' THEN 'Exposure Drafts'
         WHEN category IN ('Consolidated & Gazette Notified Regulations', 'Updated Regulations') THEN 'Regulations' ELSE category END AS type,
-        {_ENTITY.format(*[r[1] for r in ENTITY_RULES], 'Common')} AS entity, {_ENTITY.format(*[r[2] for r in ENTITY_RULES], '—')} AS subtype,
-        {_AMENDS.format(type='category', title='title')} AS amends, regexp_matches(coalesce(title, ''), '(?i)amendment') AND NOT regexp_matches(coalesce(title, ''), '(?i)as amended|incorporating') AS audited FROM listing_rows""",
+        coalesce(f.entity, 'Common') AS entity, coalesce(f.subtype, '—') AS subtype,
+        {_AMENDS.format(type='category', title='l.title')} AS amends, regexp_matches(coalesce(l.title, ''), '(?i)amendment') AND NOT regexp_matches(coalesce(l.title, ''), '(?i)as amended|incorporating') AS audited FROM listing_rows l LEFT JOIN f ON f.title = l.title""",
     "q_latest_sighting": f"WITH {_SIGHTINGS} SELECT liferay_id, pos, array_to_string(pdf_links, ' ') AS links FROM so QUALIFY row_number() OVER (PARTITION BY liferay_id ORDER BY pos DESC) = 1",
     "q_first_last_seen": f"WITH {_SIGHTINGS} SELECT liferay_id, regexp_replace(min(scanned_at)::VARCHAR, '\\.?0+$', '') AS first, max(scanned_at)::VARCHAR AS last, count(*) AS n FROM so GROUP BY liferay_id",
     "q_upsert": f"""WITH {_DOCS}, {_SIGHTINGS}, known AS (SELECT _source.liferay_id AS id FROM cur), f AS (SELECT * FROM so WHERE pos = 1 AND liferay_id NOT IN (SELECT id FROM known WHERE id IS NOT NULL)),
@@ -154,6 +162,27 @@ ORACLES: dict[str, str] = {
         CASE WHEN level IN ('regulation', 'schedule', 'part', 'chapter') THEN '' ELSE coalesce(list_filter(string_split(path, '/')[:-2], lambda p: starts_with(p, 'reg-'))[-1], '') END AS up FROM pr)
         SELECT doc_id, seq, level, ref, path FROM x QUALIFY row_number() OVER (PARTITION BY doc_id, level, r, up ORDER BY seq) = 1""",
     "q_amendment_totals": "SELECT lineage, count(*) AS amendments, sum(edges)::BIGINT AS edges, sum(applied)::BIGINT AS applied, sum(unresolved)::BIGINT AS unresolved, sum(unparsed)::BIGINT AS unparsed, max(date) AS last FROM (SELECT DISTINCT * FROM amendments) GROUP BY lineage",
+    "q_pending_made": f"WITH {_DOCS} SELECT slug FROM cur WHERE len(coalesce(_source.pdf_links, [])) > 0 AND slug NOT IN (SELECT doc FROM provisions WHERE text IS NOT NULL AND doc IS NOT NULL)",
+    "q_variants_made": "SELECT 'p-' || p_partkey AS slug, 'q-' || p_partkey AS variant FROM part",
+    "q_edge_tallies": """WITH t AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem), o AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS n, count(DISTINCT l_partkey) AS m FROM t GROUP BY 1)
+        SELECT 'unit_omit' AS rule, 'omit' AS action, 'unit' AS level, 'low' AS confidence, sum(n + 1)::BIGINT AS edges FROM o UNION ALL SELECT 'insert_after', 'insert', 'unit', 'low', sum(m)::BIGINT FROM o""",
+    "q_grammar_rules": """WITH k AS (SELECT p_partkey AS k FROM part), r(n, rule, action, level, unit, target_ref, anchor, position, new_ref, old, new, scope, confidence, is_global) AS (VALUES
+        (0, 'renumber', 'renumber', 'unit', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'low', false),
+        (1, 'global_word_sub', 'substitute', 'words', NULL, NULL, NULL, NULL, NULL, 'a#|b|c', 'd', 'Schedule I', 'high', true),
+        (2, 'word_sub_inv', 'substitute', 'words', NULL, NULL, NULL, NULL, NULL, 'x', 'y', 'clause #', 'high', false),
+        (3, 'heading_sub', 'substitute', 'unit', 'heading', NULL, NULL, NULL, NULL, NULL, 'Some plain heading #', 'Part II', 'medium', false),
+        (4, 'word_insert_after', 'insert', 'words', NULL, NULL, 'x', NULL, NULL, NULL, 'y', 'rule #', 'high', false),
+        (5, 'word_omit', 'omit', 'words', NULL, NULL, NULL, NULL, NULL, 'x|y', NULL, 'section #', 'high', false),
+        (6, 'unit_sub_first', 'substitute', 'unit', 'form', '#', NULL, NULL, NULL, NULL, NULL, NULL, 'low', false),
+        (7, 'unit_sub_refless', 'substitute', 'unit', 'explanation', '(whole)', NULL, NULL, NULL, NULL, NULL, 'regulation #', 'medium', false),
+        (8, 'note_sub_for', 'substitute', 'unit', 'note', '#', NULL, NULL, NULL, NULL, NULL, NULL, 'low', false),
+        (9, 'insert_new_units', 'insert', 'unit', 'clause', NULL, '(a)', 'after', 'clause # and clause (c)', NULL, NULL, NULL, 'low', false),
+        (10, 'insert_after_inv', 'insert', 'unit', 'proviso', NULL, '#', 'after', '(c)', NULL, NULL, NULL, 'low', false),
+        (11, 'insert_before', 'insert', 'unit', 'clause', NULL, '#', 'before', NULL, NULL, NULL, NULL, 'low', false),
+        (12, 'loc_bare_sub', 'substitute', 'unit', NULL, 'row #', NULL, NULL, NULL, NULL, NULL, 'row #', 'medium', false),
+        (13, 'word_sub_defective', 'substitute', 'words', NULL, NULL, NULL, NULL, NULL, 'X#', 'Y', NULL, 'low', false))
+        SELECT k || '-' || n AS doc_id, rule, action, level, unit, replace(target_ref, '#', k::VARCHAR) AS target_ref, replace(anchor, '#', k::VARCHAR) AS anchor, position, replace(new_ref, '#', k::VARCHAR) AS new_ref, replace(old, '#', k::VARCHAR) AS old,
+        replace(new, '#', k::VARCHAR) AS new, replace(scope, '#', k::VARCHAR) AS scope, confidence, is_global FROM k, r""",
     "q_grammar_unit_sub": f"WITH {_ORDER_LINES} SELECT l_orderkey AS doc_id, ln::INT AS n, 'substitute' AS action, 'unit' AS level, 'clause' AS unit, l_linenumber::VARCHAR AS target_ref, 'regulation ' || l_partkey AS path, 'high' AS confidence FROM li",
     "q_grammar_words": f"WITH {_ORDER_LINES} SELECT l_orderkey AS doc_id, ln::INT AS n, 'substitute' AS action, 'words' AS level, 'part ' || l_partkey AS old, 'supplier ' || l_suppkey AS new, 'regulation ' || l_linenumber AS scope, 'high' AS confidence FROM li",
     "q_grammar_omit_insert": f"""WITH {_ORDER_LINES} SELECT l_orderkey AS doc_id, ln::INT AS n, 'omit' AS action, 'clause' AS unit, '(a)' AS ref, 'low' AS confidence FROM li
@@ -169,6 +198,9 @@ ORACLES: dict[str, str] = {
     "q_lineage_events": """SELECT DISTINCT l_orderkey || '#reg-' || l_linenumber || '/cla-' || l_suppkey AS id, 'substitute' AS action, 'am-' || l_orderkey AS doc, strftime(o_orderdate, '%Y-%m-%d') AS date,
         'For clause ' || l_suppkey || ' of regulation ' || l_linenumber || ', the following shall be substituted' AS detail, true AS verified FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey""",
     "q_audit_latest": f"WITH {_DOCS} SELECT slug, title, year FROM cur WHERE regexp_matches(coalesce(title, ''), '(?i)amendment') AND NOT regexp_matches(coalesce(title, ''), '(?i)as amended|incorporating') ORDER BY year DESC NULLS FIRST, slug LIMIT 20",
+    "q_database_rows": f"""WITH {_DOCS} SELECT slug, coalesce(status, 'Unclassified') AS status, coalesce(nullif(attachments, 0), 1) AS attachments, coalesce(archived, false) AS archived,
+        CASE WHEN regexp_matches(left(dateIssued, 10), '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}$') THEN strftime(try_strptime(left(dateIssued, 10), '%Y-%m-%d'), '%Y-%m-%d') END AS date_issued,
+        len(coalesce(subjects, []))::INT AS subjects, len(coalesce(_source.pending_relations, []))::INT AS pending FROM cur""",
     "q_log_rows": f"WITH {_DOCS} SELECT _source.liferay_id AS id, slug, type, title, dept, year::VARCHAR AS year, dateIssued AS date_issued, attachments::VARCHAR AS attachments, to_json(_source.pdf_links)::VARCHAR AS pdf_links FROM cur",
     "q_payloads": f"WITH {_DOCS}, {_RECORDS}, n AS (SELECT doc_id, count(*) AS n FROM rec GROUP BY 1) SELECT slug, coalesce(n, 0)::INT AS chunks FROM cur LEFT JOIN n ON doc_id = slug WHERE lede IS NOT NULL",
     "q_embed": f"WITH {_RECORDS} SELECT id, content IS NOT NULL AND {_DEVA.format('content')} / greatest(length(content), 1) < 0.3 AS embedded FROM rec",

@@ -103,11 +103,6 @@ def identities(s: SparkSession, d: str) -> DataFrame:
     return segmentation.once_per_identity(rows).select("doc_id", "seq", "level", "ref", "path")
 
 
-def cutoffs(s: SparkSession, d: str) -> DataFrame:
-    dates = events(s, d).select("doc", "date").union(provisions(s, d).select("doc", "introducedOn")).filter("coalesce(date, '') <> ''").distinct()
-    return dates.groupBy("doc").agg(F.array_join(F.array_sort(F.collect_set("date")), ",").alias("cutoffs"))
-
-
 def _order_lines(s: SparkSession, d: str, line: Column) -> DataFrame:
     """A document per order with one instruction per line item."""
     items = table(s, d, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", line.alias("t")).alias("x"))
@@ -145,6 +140,43 @@ def grammar_pairs(s: SparkSession, d: str) -> DataFrame:
     return _edges(_order_lines(s, d, line), "action", F.array_join("old", "|").alias("old"), "new", "paired", "confidence")
 
 
+#: A line for each rule that the other grammar queries do not reach; %d is the part's key.
+RULE_LINES = [
+    "The clause %d shall be renumbered", "Throughout the Schedule I, for the words “a%d”, “b” and “c”, the words “d” shall be substituted", "In clause %d, the word “x” shall be substituted with “y”",
+    "In Part II, heading shall be substituted as Some plain heading %d", "In rule %d, after the words “x”, the words “y” shall be inserted", "In section %d, the words “x” and “y” shall be omitted",
+    "Form %d shall be substituted, namely", "In regulation %d, for the Explanation, the following shall be substituted", "the following note shall be substituted for note %d", "After clause (a), new clause %d and clause (c) shall be inserted",
+    "the following proviso shall be inserted after clause %d as clause (c)", "Before clause %d, the following shall be inserted", "In row %d, the following shall be substituted", "“X%d” the words “Y” shall be substituted",
+]
+
+
+def grammar_rules(s: SparkSession, d: str) -> DataFrame:
+    lines = F.posexplode(F.array(*[F.format_string(t, F.col("p_partkey")) for t in RULE_LINES])).alias("n", "text")
+    docs = table(s, d, "part").select("p_partkey", lines).select(F.concat_ws("-", F.col("p_partkey").cast("string"), F.col("n").cast("string")).alias("doc_id"), "text")
+    fields = ["rule", "action", "level", "unit", "target_ref", "anchor", "position", "new_ref", "new", "scope", "confidence", "is_global"]
+    return grammar.edges(docs).select("doc_id", *fields, F.array_join("old", "|").alias("old"))
+
+
+def edge_tallies(s: SparkSession, d: str) -> DataFrame:
+    """Edges of each line twice over, once per identity, counted by rule."""
+    line = F.format_string("Clauses (%s) and %d shall be omitted; after section %d, the following shall be inserted", F.lit("a"), F.col("l_linenumber"), F.col("l_partkey"))
+    found = grammar.edges(_order_lines(s, d, line))
+    twice = found.withColumn("attachment", F.explode(F.array(F.lit("en"), F.lit("hi"))))
+    return audit.once_per_edge(twice, ["doc_id"], ["attachment", "line_no", "edge_no"]).groupBy("rule", "action", "level", "confidence").agg(F.count("*").alias("edges"))
+
+
+def variants_made(s: SparkSession, d: str) -> DataFrame:
+    """Principals without text, named by the parts, and longer titles that have one."""
+    key = F.col("p_partkey")
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(n).alias("shift"), F.lit(t).alias("tail")) for k, n, t in (("p", 0, ""), ("q", 10_000_000, " with schedules"), ("r", 20_000_000, " with all schedules"))])).alias("x")
+    docs = table(s, d, "part").select(key, kinds).select(F.concat_ws("-", "x.k", key.cast("string")).alias("slug"), (key + F.col("x.shift")).alias("pos"), F.concat(F.lit("Cover rules "), key.cast("string"), F.col("x.tail")).alias("title"), F.lit("Rules").alias("type"))
+    return resolution.text_variants(docs.filter("slug LIKE 'p-%'").select("slug", F.lit("").alias("amendment")), docs, docs.filter("slug NOT LIKE 'p-%'").select("slug", F.lit("x").alias("text")))
+
+
+def cutoff_dates(s: SparkSession, d: str) -> DataFrame:
+    listed = provisions(s, d).groupBy("doc").agg(F.collect_list(F.struct("introducedOn", "events")).alias("p"))
+    return listed.select("doc", F.array_join(lineage.cutoffs(F.col("p")), ",").alias("cutoffs")).filter("cutoffs <> ''")
+
+
 def segments(s: SparkSession, d: str) -> DataFrame:
     line = F.format_string("%d. Heading of part %d\n(%d) first clause\n(a) its subclause\nand more", F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"))
     docs = _order_lines(s, d, line).withColumn("text", F.concat(F.lit("Chapter II – General\n"), "text")).withColumn("doc_id", F.col("doc_id").cast("string"))
@@ -263,6 +295,8 @@ QUERIES: dict[str, Query] = {
     "q_title_tokens": lambda s, d: current_docs(s, d).select("slug", F.array_join(X.title_tokens(F.col("title")), " ").alias("tokens")),
     "q_resolve_titles": titles_of_amendments,
     "q_title_variants": title_variants,
+    "q_variants_made": variants_made,
+    "q_pending_made": lambda s, d: corpus.pending(current_docs(s, d), provisions(s, d).select(F.col("doc").alias("slug"), F.sha1("text").alias("content_sha1"))).select("slug"),
     "q_relations": lambda s, d: relations.mine(current_docs(s, d))[0],
     "q_relations_open": lambda s, d: relations.mine(current_docs(s, d))[1],
     "q_relations_made": lambda s, d: relations.mine(made_documents(s, d))[0],
@@ -272,7 +306,7 @@ QUERIES: dict[str, Query] = {
     "q_pending": lambda s, d: corpus.pending(current_docs(s, d), table(s, d, "documents").select("slug", F.when(F.length("text") > 0, F.sha1("text")).alias("content_sha1"))).select("slug"),
     "q_chunks_of_known": lambda s, d: records(s, d).join(current_docs(s, d).filter("status <> 'Deleted'").select(F.col("slug").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.count("*").alias("chunks")),
     "q_top_provisions": lambda s, d: provisions(s, d).withColumn("rank", F.row_number().over(W.partitionBy("doc").orderBy("seq", "id"))).filter("rank <= 10").select("doc", "id", "rank"),
-    "q_cutoffs": cutoffs,
+    "q_cutoffs": cutoff_dates,
     "q_event_counts": lambda s, d: events(s, d).groupBy("action", "verified").agg(F.count("*").alias("events"), F.countDistinct("id").alias("provisions")),
     "q_event_dedup": event_dedup,
     "q_identities": identities,
@@ -282,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "q_grammar_omit_insert": grammar_omit,
     "q_grammar_scope": grammar_scope,
     "q_grammar_pairs": grammar_pairs,
+    "q_grammar_rules": grammar_rules,
+    "q_edge_tallies": edge_tallies,
     "q_grammar_edges": _parsed_documents,
     "q_segments": segments,
     "q_edge_dedup": lambda s, d: audit.once_per_edge(_parsed_documents(s, d), ["doc_id"], ["line_no", "edge_no"]).groupBy("rule", "action", "level", "confidence").agg(F.count("*").alias("edges")),
@@ -293,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "q_audit_counters": lambda s, d: audit.counters(audit.audit(current_docs(s, d), records(s, d))),
     "q_audit_latest": lambda s, d: audit.audited(current_docs(s, d), limit=20).select("slug", "title", "year"),
     "q_audit_summary": lambda s, d: audit.summary(audit.audit(current_docs(s, d), records(s, d))),
+    "q_database_rows": lambda s, d: files.database_rows(current_docs(s, d)).select("slug", "status", "attachments", "archived", F.col("date_issued").cast("string").alias("date_issued"), F.size("subjects").alias("subjects"), F.size("pending_relations").alias("pending")),
     "q_log_rows": lambda s, d: files.log_rows(current_docs(s, d), NOW).select("id", "slug", "type", "title", "dept", "year", "date_issued", "attachments", "pdf_links"),
     "q_payloads": lambda s, d: files.payloads(
         current_docs(s, d).select("slug", "title", F.lit("text").alias("extraction_method"), F.lit(1).alias("page_count"), F.col("lede").alias("full_text"), F.array().cast("array<struct<name:string,url:string,source:string>>").alias("pdf_storage")),

@@ -61,11 +61,12 @@ def with_fallbacks(plain: Extractor, layout: Extractor | None = None, ocr: Extra
     return extract
 
 
-def extract(files: DataFrame, extractor: Extractor) -> DataFrame:
+def extract(files: DataFrame, extractor: Extractor, count_pages: Callable[[bytes], int] | None = None) -> DataFrame:
     """``slug, number, label, url, text, method, pages, error`` of attachments ``slug, number, label, url, content``.
 
     A file that is missing, too large, no PDF or fails in the extractor has its reason in ``error`` and no
-    text; the others of the document are not affected.
+    text; the others of the document are not affected.  With ``count_pages`` the extractor is asked for lean analysis
+    (no tables, few graphics) of files with more than ``LEAN_PAGES`` pages.
     """
     reason = (
         F.when(F.col("content").isNull(), F.lit("missing"))
@@ -81,7 +82,8 @@ def extract(files: DataFrame, extractor: Extractor) -> DataFrame:
                 found: tuple = (None, None, None)
                 if error is None:
                     try:
-                        found = extractor(data.as_py(), False)
+                        body = data.as_py()
+                        found = extractor(body, count_pages is not None and count_pages(body) > LEAN_PAGES)
                     except Exception as e:
                         error = f"{type(e).__name__}: {e}"[:500]
                 text.append(found[0])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import text as X
 
 # Columns of the append-only log.
 LOG_COLUMNS = [
@@ -37,6 +38,32 @@ def write_corpus(docs: DataFrame, path: str) -> None:
     docs.repartitionByRange("pos").sortWithinPartitions("pos").write.mode("overwrite").json(path)
 
 
+def write_corpus_file(docs: DataFrame, path: str, generated_at: str) -> None:
+    """The corpus in the wrapped form ``{"generated_at", "count", "docs"}``, one object over text lines; a single object needs a
+    single file, so this is for corpora that one task can write (:func:`write_corpus` writes parts)."""
+    n = docs.count()
+    fields = F.to_json(F.struct(*[c for c in docs.columns if c not in ("slug", "pos")]))
+    key = F.regexp_extract(F.to_json(F.struct("slug")), r'^\{"slug":(.*)\}$', 1)
+    first = docs.agg(F.min("pos").alias("__first"))
+    rows = docs.join(F.broadcast(first)).select("pos", F.concat(F.when(F.col("pos") == F.col("__first"), F.lit("")).otherwise(F.lit(",")), key, F.lit(":"), fields).alias("value"))  # one row
+    spark = docs.sparkSession
+    ends = spark.createDataFrame([(-(2**62), f'{{"generated_at":"{generated_at}","count":{n},"docs":{{'), (2**62, "}}")], "pos long, value string")
+    rows.union(ends).coalesce(1).sortWithinPartitions("pos").select("value").write.mode("overwrite").text(path)
+
+
+def database_rows(docs: DataFrame) -> DataFrame:
+    """Documents as rows of the database table, with its defaults for what is missing."""
+    source, none = F.col("_source"), F.array().cast("array<string>")
+    return docs.select(
+        "slug", source["liferay_id"].alias("liferay_id"), "type", F.col("sourceCategory").alias("source_category"), "title", F.col("refNo").alias("ref_no"), "dept", "entity", "subtype",
+        F.coalesce("status", F.lit("Unclassified")).alias("status"), "year", X.safe_date(F.col("dateIssued")).alias("date_issued"), F.coalesce("archived", F.lit(False)).alias("archived"),
+        F.coalesce("subjects", none).alias("subjects"), F.coalesce("maintenance", none).alias("maintenance"), F.coalesce("aliases", none).alias("aliases"),
+        F.to_json(F.coalesce("relations", F.create_map().cast("map<string,array<string>>"))).alias("relations"), F.coalesce(source["pending_relations"], none).alias("pending_relations"),
+        F.coalesce(F.nullif("attachments", F.lit(0)), F.lit(1)).alias("attachments"), source["detail_page"].alias("detail_page"), F.coalesce(source["pdf_links"], none).alias("pdf_links"),
+        source["source_page"].alias("source_page"), source["first_seen"].alias("first_seen"), source["last_seen"].alias("last_seen"),
+    )
+
+
 def script_payload(docs: DataFrame, name: str, generated_at: str) -> str:
     """``window.NAME = {...};`` for a front end; made by the driver, so for corpora that a browser can load."""
     fields = F.to_json(F.struct(*[c for c in docs.columns if c not in ("slug", "pos")]))

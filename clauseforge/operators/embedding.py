@@ -69,8 +69,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", v
 
     Queries are packed into matrices of ``block`` rows; every partition of ``vectors`` is compared with each
     matrix by one product and keeps its own best k, so what is shuffled is k rows per query and partition.
-    Query blocks are read one at a time by the driver, so any number of queries works.  Null vectors have
-    no neighbours.
+    Query blocks are read one at a time by the driver; where there are several, a block's neighbours are checkpointed
+    and its broadcast is dropped before the next is read.  Null vectors have no neighbours.
     """
     from ..session import checkpoint
 
@@ -108,6 +108,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", v
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, ok.sum(axis=1))), pa.array(best_k[ok]), pa.array(best_s[ok])], ["query", "neighbour", "score"])
 
         found = rows.mapInArrow(near, "query long, neighbour long, score double")
+        if parts > 1:
+            found = checkpoint(found)
+            shared.unpersist()
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "query long, neighbour long, score double, rank int")

@@ -18,6 +18,7 @@ def build_session(app: str = "clauseforge", cores: str | int = "*", partitions:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CLAUSEFORGE_DRIVER_MEMORY", "8g"))

@@ -42,6 +42,12 @@ class SnapshotStore:
     def write(self, version: int, df: DataFrame, part: str = "corpus") -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}/{part}")
 
+    def prune(self, keep: int = 2) -> None:
+        """Remove the corpus of all but the newest versions (two, so that the newest batch can be run again); deltas stay."""
+        fs, _, jvm = self._fs()
+        for version in self.versions()[:-keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={version}/corpus"), True)
+
     def delta(self, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/v={version}/delta")
 
@@ -60,6 +66,7 @@ def upsert_batch(store: SnapshotStore, rows: DataFrame, batch: int, now: str, as
     store.write(batch, rows.filter(~usable()).drop("pos"), "rejected")
     store.write(batch, fresh, "delta")
     store.write(batch, snapshot)
+    store.prune()
 
 
 def start(spark: SparkSession, source: str, store: SnapshotStore, checkpoint: str, now: str, as_of_year: int, backfill: bool = True, files_per_batch: int = 1000) -> StreamingQuery:

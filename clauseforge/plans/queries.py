@@ -190,7 +190,7 @@ def lineage_events(s: SparkSession, d: str) -> DataFrame:
     found = segmentation.once_per_identity(segmentation.segment(texts)).withColumnRenamed("doc_id", "slug")
     line = F.format_string("For clause %d of regulation %d, the following shall be substituted", F.col("l_suppkey"), F.col("l_linenumber"))
     instruments = table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("slug"), F.col("o_orderkey").cast("string").alias("doc"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit(0).alias("pos"))
-    read = grammar.read(_order_lines(s, d, line).withColumn("doc_id", F.col("doc_id").cast("string")))
+    read = checkpoint(grammar.read(_order_lines(s, d, line).withColumn("doc_id", F.col("doc_id").cast("string"))))
     folded = lineage.fold(instruments, read, found.select("slug", "seq", "id", "level", "ref", "heading", "path"))
     return lineage.flatten_provisions(folded).select("id", F.explode("events").alias("e")).select("id", "e.action", F.concat(F.lit("am-"), "e.doc").alias("doc"), "e.date", "e.detail", "e.verified")
 

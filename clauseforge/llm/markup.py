@@ -1,9 +1,9 @@
 """Problem 6: markup residue in text, turned into clean text that keeps its structure.
 
 A grammar of HTML, Markdown, wiki and LaTeX tokens finds the records that carry markup.  Over the pages of
-one host (the chunks of one document) the tokens of their marked-up lines are grouped by occurrence
-vector: tokens that occur equally often on the same pages form a class.  Classes with enough pages and
-tokens that keep one order on a page are its template, nested where one lies in the gaps of another; what
+one host (the chunks of one document that carry markup) all their tokens, markup and words, are grouped by
+occurrence vector: tokens that occur equally often on the same pages form a class.  Classes with enough pages
+and tokens that keep one order on a page are its template, nested where one lies in the gaps of another; what
 stands between template tokens are the page's slots.  The text is then converted block by block.
 
 Deduction alone cannot say which *record* has markup (most residue here stands in a single record of its
@@ -406,6 +406,39 @@ def convert(text: str) -> list[tuple[str, int, str]]:
 _WORDS = re.compile(r"\w+", re.U)
 #: Kinds whose tokens hold the words they mark up.
 _HOLDS = {"heading", "wiki_heading", "note", "image", "link", "autolink", "wiki_link", "wiki_url", "template", "wiki_emphasis", "formula", "code", "strike", "strong", "emphasis"}
+#: Kinds whose tokens may hold further tokens, and where in them.
+_INSIDE = {
+    "heading": r"[ \t]*#+[ \t]+(?P<in>.*)", "wiki_heading": r"(=+)(?P<in>.*)\1[ \t]*", "link": r"\[(?P<in>[^\]]*)\].*", "wiki_link": r"\[\[(?P<in>.*)\]\]", "template": r"\{\{(?P<in>.*)\}\}",
+    "wiki_emphasis": r"'+(?P<in>.*?)'+", "strike": r"~~(?P<in>.*)~~", "strong": r"(\*\*|__)(?P<in>.*)\1", "emphasis": r"([*_])(?P<in>.*)\1",
+}
+_INSIDE = {kind: re.compile(pattern, re.S) for kind, pattern in _INSIDE.items()}
+
+
+def _words(text: str, begin: int, end: int) -> list[tuple[str, int, int]]:
+    return [("w:" + m[0], m.start(), m.end()) for m in _WORDS.finditer(text, begin, end)]
+
+
+def _held(text: str, a: int, b: int, kind: str) -> list[tuple[str, int, int]]:
+    """Words and further tokens within a token, in order."""
+    if kind not in _INSIDE:
+        return _words(text, a, b)
+    begin, end = _INSIDE[kind].fullmatch(text, a, b).span("in")
+    out: list[tuple[str, int, int]] = []
+    at = begin
+    if _HINT.search(text, begin, end):
+        # With the character before, after which no line begins.
+        for m in MARKUP.finditer(_ready(text[begin - 1 : end]), 1):
+            c, d = m.start() + begin - 1, m.end() + begin - 1
+            out += _words(text, at, c) + _token(text, c, d, m.lastgroup)
+            at = d
+    return out + _words(text, at, end) + (_words(text, end, b) if kind == "link" else [])
+
+
+def _token(text: str, a: int, b: int, kind: str) -> list[tuple[str, int, int]]:
+    """A markup token; one that holds words becomes its begin, what it holds, which varies from page to page, and its end."""
+    name = re.sub(r"=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", "=", text[a:b]) if kind == "tag" else kind
+    inner = _held(text, a, b, kind) if kind in _HOLDS else []
+    return [(f"m:{name}", a, inner[0][1]), *inner, (f"m:/{name}", inner[-1][2], b)] if inner else [(f"m:{name}", a, b)]
 
 
 def page_tokens(text: str) -> list[tuple[str, int, int]]:
@@ -415,22 +448,26 @@ def page_tokens(text: str) -> list[tuple[str, int, int]]:
     at = 0
     for n, (a, b, kind) in enumerate(found):
         begin = max(at, text.rfind("\n", 0, a) + 1)
-        out += [("w:" + m[0], m.start(), m.end()) for m in _WORDS.finditer(text, begin, a)]
-        name = re.sub(r"=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", "=", text[a:b]) if kind == "tag" else kind
-        inner = [("w:" + m[0], m.start(), m.end()) for m in _WORDS.finditer(text, a, b)] if kind in _HOLDS else []
-        if inner:  # what the token holds varies from page to page
-            out += [(f"m:{name}", a, inner[0][1]), *inner, (f"m:/{name}", inner[-1][2], b)]
-        else:
-            out.append((f"m:{name}", a, b))
+        out += _words(text, begin, a) + _token(text, a, b, kind)
         at = b
         end = text.find("\n", b)
         end = len(text) if end < 0 else end
         if text[b - 1] != "\n" and (n + 1 == len(found) or found[n + 1][0] > end):  # the last token of its line
-            out += [("w:" + m[0], m.start(), m.end()) for m in _WORDS.finditer(text, b, end)]
+            out += _words(text, b, end)
             at = end
     return out
 
 
+def whole_page(text: str) -> list[tuple[str, int, int]]:
+    """All tokens of a page in order: those of its marked-up lines and the words of all other lines."""
+    out: list[tuple[str, int, int]] = []
+    at = 0
+    for token in page_tokens(text):
+        out += [*_words(text, at, token[1]), token]
+        at = token[2]
+    return out + _words(text, at, len(text))
+
+
 def slots(text: str, page: list[tuple[str, int, int]], classes: dict[int, set[str]]) -> tuple[list[str], int, set[str]]:
     """What stands before, between and after template tokens on a page, how many of the host's classes are valid on it,
     and the words that are template tokens.
@@ -492,7 +529,7 @@ def page_occurrences(marked: DataFrame) -> DataFrame:
             host, page, token, count = [], [], [], []
             for h, k, t in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "text"))):
                 seen: dict[str, int] = {}
-                for name, _, _ in page_tokens(t):
+                for name, _, _ in whole_page(t):
                     seen[name] = seen.get(name, 0) + 1
                 host += [h] * len(seen)
                 page += [k] * len(seen)
@@ -563,7 +600,7 @@ def clean_records(df: DataFrame, id: str = "id", text: str = "content", host: st
                 classes: dict[int, set[str]] = {}
                 for p in pairs or ():
                     classes.setdefault(p["vector"], set()).add(p["token"])
-                found, n, words = slots(t, page_tokens(t), classes) if classes else ([], 0, set())
+                found, n, words = slots(t, whole_page(t), classes) if classes else ([], 0, set())
                 parts = [{"kind": k, "level": v, "text": x, "template": bool(words) and _of_template(x, words)} for k, v, x in convert(t)]
                 blocks.append(parts)
                 plain.append("\n".join(b["text"] for b in parts if not b["template"]))

@@ -200,6 +200,24 @@ def test_slots_hold_what_stands_outside_and_within_tokens():
     assert [t for t, _, _ in markup.page_tokens("<b>x</b> one <i>two\nthree")] == ["m:<b>", "w:x", "m:</b>", "w:one", "m:<i>", "w:two"]
 
 
+def test_templates_are_read_from_whole_pages(spark):
+    page = "<div>\nIssued by the Authority\n</div>\n<p>Seal and Date</p>\n{} {}\n{}"
+    rows = [(f"p{i}", "h", page.format(i + 1, w, "Seal" if i == 3 else "no more"), 1) for i, w in enumerate(["May", "June", "July", "March"])]
+    df = spark.createDataFrame(rows, "id string, doc_id string, content string, loaded_at int")
+    out = {r.id: r for r in markup.clean_records(df).collect()}
+    assert out["p2"].text == "Seal and Date\n3 July\nno more" and [b.template for b in out["p2"].blocks] == [True, False, False, False]
+    assert out["p2"].slots == ["Seal", "3 July no more"] and out["p3"].text == "Seal and Date\n4 March\nSeal"  # twice on one page: no part of the class
+    assert {"w:Issued", "w:Authority", "m:<div>"} <= set(markup.host_templates(df).collect()[0].tokens)
+
+
+def test_page_holds_tokens_within_tokens():
+    assert [t for t, _, _ in markup.whole_page("one\n## <b>Notice 7</b>\ntwo\n\nthree")] == ["w:one", "m:heading", "m:<b>", "w:Notice", "w:7", "m:</b>", "m:/heading", "w:two", "w:three"]
+    assert [t for t, _, _ in markup.page_tokens("__Date:__ _3_")] == ["m:strong", "w:Date", "m:/strong", "m:emphasis", "w:3", "m:/emphasis"]
+    text = "## <b>Notice 7</b>"
+    page = markup.whole_page(text)
+    assert markup.slots(text, page, {1: {t for t, _, _ in page} - {"w:7"}})[0] == ["7"]
+
+
 def test_classes_nest_or_one_is_left_out():
     page = [(t, 2 * i, 2 * i + 1) for i, t in enumerate("a x y b a x y b".split())]
     text = "".join(t + "-" for t, _, _ in page)

@@ -91,19 +91,20 @@ def holding_titles(wanted: DataFrame, corpus: DataFrame, texts: DataFrame) -> Da
     """``slug, variant, pos``: all documents with a text and a title that holds all words of the wanted one's.
 
     ``wanted`` has ``slug`` and ``amendment`` (left out as well).  All words must be shared, so the rarest
-    word of the wanted title alone finds the candidates.
+    word of the wanted title alone finds the candidates.  The joins are by sorting: a title is many times the bytes that
+    its compressed column has in a file, and by those bytes the planner would broadcast millions of titles.
     """
     docs = corpus.select(F.col("slug"), "pos", "title", "type")
-    with_text = docs.filter(~classify.is_amendment(F.col("type"), F.col("title"))).join(texts.filter("coalesce(text, '') <> ''").select("slug").distinct(), "slug", "left_semi")
+    with_text = docs.filter(~classify.is_amendment(F.col("type"), F.col("title"))).join(texts.filter("coalesce(text, '') <> ''").select("slug").distinct().hint("merge"), "slug", "left_semi")
     have = with_text.select(F.col("slug").alias("variant"), "pos", X.title_tokens(F.col("title")).alias("ct"))
     words = have.select(F.explode("ct").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    want = wanted.join(docs.select("slug", "title"), "slug").select("slug", "amendment", X.title_tokens(F.col("title")).alias("wt")).filter(F.size("wt") > 0)
+    want = wanted.join(docs.select("slug", "title").hint("merge"), "slug").select("slug", "amendment", X.title_tokens(F.col("title")).alias("wt")).filter(F.size("wt") > 0)
     rarest = (
         want.select("slug", "amendment", "wt", F.explode("wt").alias("token"))
-        .join(words, "token", "left")
+        .join(words.hint("merge"), "token", "left")
         .groupBy("slug", "amendment", "wt")
         .agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("token"))
     )
-    return rarest.join(have.select("variant", "pos", "ct", F.explode("ct").alias("token")), "token").filter(
+    return rarest.join(have.select("variant", "pos", "ct", F.explode("ct").alias("token")).hint("merge"), "token").filter(
         (F.size(F.array_except("wt", "ct")) == 0) & (F.col("variant") != F.col("slug")) & (F.col("variant") != F.col("amendment"))
     ).select("slug", "variant", "pos")

@@ -128,6 +128,14 @@ def test_resolution(spark):
     assert [tuple(r) for r in resolution.text_variants(wanted, docs, texts).collect()] == [("a", "long")]
 
 
+def test_variants_broadcast_no_titles(spark):
+    """Small files can hold many titles: whatever size the planner takes them for, none are broadcast."""
+    docs = spark.createDataFrame([("a", 0, "Cover Rules", "Rules"), ("b", 1, "Cover Rules with schedules", "Rules")], "slug string, pos int, title string, type string")
+    found = resolution.text_variants(docs.select("slug", F.lit("").alias("amendment")), docs, docs.filter("slug = 'b'").select("slug", F.lit("x").alias("text")))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("a", "b")] and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_build_is_independent_of_order(spark):
     principal = "CHAPTER I\n1. First regulation text\n(a) clause a\n2. Second regulation text\n(a) clause a"
     first = "to amend the Insurance Regulatory (Cover) Regulations, 2016\nFor clause (a) of regulation 2, the following shall be substituted\nSub-clause (q) of regulation 5 shall be omitted\nfoo shall be deleted"

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import checkpoint
 from . import classify
 
 THRESHOLD = 0.7
+YEAR = re.compile(r"(?:19|20)[0-9]{2}\Z")
+#: Wanted titles and titles of the corpus that one task compares with each other, and blocks of wanted ones if there are enough.
+ASKED_PER_BLOCK, TITLES_PER_BLOCK, BLOCKS = 100_000, 250_000, 12
 
 
 def stripped_title(title: Column) -> Column:
@@ -17,47 +27,73 @@ def stripped_title(title: Column) -> Column:
     return F.regexp_replace(t, r"(?iU)\bamendments?\b", "")
 
 
-def _scored(met: DataFrame, key: list[str]) -> DataFrame:
-    """Best candidate of each key from ``key..., wt, cand, pos, ct``: equal scores go to the first in corpus order."""
-    scored = met.withColumn("score", X.title_score(F.col("wt"), F.col("ct")))
-    return scored.groupBy(*key).agg(F.max_by(F.struct("cand", "score"), F.struct("score", (-F.col("pos")).alias("p"))).alias("b"))
-
+def _best_of_block(block: pa.Table) -> pa.Table:
+    """The two best titles of the block for each wanted one in it that shares a word: equal scores in order of ``pos``.
 
-def _ordered_tokens(titles: DataFrame, tokens: str, counts: DataFrame) -> DataFrame:
-    """Adds ``head``: the rare tokens of which a similar title must hold one, by the corpus's counts."""
-    key = [c for c in titles.columns if c != tokens]
-    ranked = titles.select(*key, F.explode(tokens).alias("token")).join(counts, "token", "left")
-    listed = ranked.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("r"))
-    n = F.size("r")
-    head = F.slice("r", F.lit(1), n - F.ceil(n * THRESHOLD - 1e-9).cast("int") + 1)
-    return listed.select(*key, F.array_sort(F.transform("r", lambda x: x["token"])).alias(tokens), F.transform(head, lambda x: x["token"]).alias("head"))
+    Scores are those of ``functions.text.title_score``, worked out from the places of each word, all titles at a time.
+    """
+    asked, titles = block.filter(block.column("asked")), block.filter(pc.invert(block.column("asked"))).sort_by([("pos", "ascending")])
+    both = pa.concat_arrays([x for t in (titles, asked) for x in t.column("tokens").chunks])
+    coded = both.flatten().dictionary_encode()
+    word, sizes = coded.indices.to_numpy(zero_copy_only=False), pc.list_value_length(both).to_numpy(zero_copy_only=False)
+    ends, n = np.cumsum(sizes), titles.num_rows
+    size, held = sizes[:n], ends[n - 1] if n else 0
+    of = np.repeat(np.arange(n), size)[np.argsort(word[:held], kind="stable")]  # the titles of each word, word by word
+    till = np.cumsum(np.bincount(word[:held], minlength=len(coded.dictionary)))
+    places = np.split(of, till[:-1]) if len(till) else []
+    year = np.array([bool(YEAR.match(w)) for w in coded.dictionary.to_pylist()], bool)
+    who, which, how = [], [], []
+    for i, (end, k) in enumerate(zip(ends[n:], sizes[n:])):
+        mine = word[end - k : end]
+        counts = np.bincount(np.concatenate([places[t] for t in mine]), minlength=n) if k else np.zeros(n, int)
+        met = np.flatnonzero(counts)
+        common, have = counts[met], size[met]
+        score = common / (have + (k - common))
+        whole = (common == k) | (common == have)
+        score[whole] = np.maximum(score[whole], 0.99)
+        if len(years := mine[year[mine]]):
+            same = np.zeros(n, bool)
+            same[np.concatenate([places[t] for t in years])] = True
+            score[~same[met]] *= 0.5
+        for _ in range(min(2, len(met))):
+            best = int(score.argmax())
+            who.append(i)
+            which.append(met[best])
+            how.append(score[best])
+            score[best] = -1
+    of_asked, of_title = pa.array(who, pa.int64()), pa.array(which, pa.int64())
+    found = titles.take(of_title)
+    return pa.table({"wt": asked.column("tokens").take(of_asked).cast(pa.list_(pa.string())), "cand": found.column("cand"), "pos": found.column("pos"), "score": pa.array(how, pa.float64())})
 
 
 def resolve(wanted: DataFrame, corpus: DataFrame, key: list[str]) -> DataFrame:
     """``key..., slug, score``: the best-scoring document for each wanted title (slug null below the threshold).
 
-    ``wanted`` has the key columns, ``title`` and ``self`` (a slug to leave out, or null); ``corpus`` has
-    ``slug, pos, title``.  A score of the threshold needs a Jaccard similarity of as much, or one title
-    that holds the other; either way the rare tokens at the head of one title meet the other title.  So
-    candidates come from two equi joins on head tokens, and frequent words join nothing.  Only titles
-    without a match are then compared by all their words, for the best score to report.
+    ``wanted`` has the unique key columns, ``title`` and ``self`` (a slug to leave out, or null); ``corpus`` has unique
+    ``slug``, and ``pos, title``; equal scores go to the first in corpus order.  A score depends on the sets of words
+    alone, so each set is compared once, on either side; of the documents of one set the first two stand for all (one of
+    them may be ``self``).  Sets are compared block by block, in arrays: no pair of titles is ever a row.
     """
     w = wanted.select(*key, "self", X.title_tokens(F.col("title")).alias("wt"))
-    c = corpus.select(F.col("slug").alias("cand"), "pos", X.title_tokens(F.col("title")).alias("ct"))
-    other = F.col("self").isNull() | (F.col("cand") != F.col("self"))
-    counts = c.select(F.explode("ct").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    wh, ch = _ordered_tokens(w, "wt", counts), _ordered_tokens(c, "ct", counts)
-
-    def meet(left: DataFrame, lt: str, right: DataFrame, rt: str) -> DataFrame:
-        met = left.withColumn("token", F.explode(lt)).drop("head").join(right.withColumn("token", F.explode(rt)).drop("head"), "token")
-        return met.filter(other).select(*key, "wt", "cand", "pos", "ct").distinct()
-
-    near = meet(wh, "wt", ch, "head").unionByName(meet(wh, "head", ch, "ct"))
-    matched = _scored(near, key).filter(F.col("b.score") >= THRESHOLD)
-    rest = wh.join(matched.select(*key), key, "left_anti")
-    best = matched.unionByName(_scored(meet(rest, "wt", ch, "ct"), key))
+    c = corpus.select(F.col("slug").alias("cand"), F.col("pos").cast("long").alias("pos"), X.title_tokens(F.col("title")).alias("tokens"))
+    place = F.row_number().over(W.partitionBy("tokens").orderBy(F.asc_nulls_last("pos"), "cand"))
+    have = c.filter(F.size("tokens") > 0).withColumn("n", place).filter("n <= 2").select(F.lit(False).alias("asked"), "tokens", "cand", "pos")
+    ask = w.filter(F.size("wt") > 0).select(F.lit(True).alias("asked"), F.col("wt").alias("tokens")).distinct()
+    sides = checkpoint(have.unionByName(ask, allowMissingColumns=True))
+    n = {r.asked: r["count"] for r in sides.groupBy("asked").count().collect()}  # two rows
+    rows = -(-n.get(True, 1) // ASKED_PER_BLOCK), -(-n.get(False, 1) // TITLES_PER_BLOCK)
+    across, down = max(rows[0], min(BLOCKS, -(-n.get(True, 1) // 1000))), rows[1]
+    # A wanted set has a column of its own and stands in all rows of blocks, a title the other way round.
+    own = F.pmod(F.xxhash64("tokens"), F.when(F.col("asked"), F.lit(across)).otherwise(F.lit(down)))
+    other = F.explode(F.when(F.col("asked"), F.sequence(F.lit(0), F.lit(down - 1))).otherwise(F.sequence(F.lit(0), F.lit(across - 1))))
+    dealt = sides.select("*", own.cast("int").alias("own"), other.alias("other"))
+    block = F.when(F.col("asked"), F.col("other") * across + F.col("own")).otherwise(F.col("own") * across + F.col("other"))
+    best = dealt.select(block.alias("block"), "asked", "tokens", "cand", "pos").groupBy("block").applyInArrow(_best_of_block, "wt array<string>, cand string, pos bigint, score double")
+    good = F.col("cand").isNotNull() & (F.col("self").isNull() | (F.col("cand") != F.col("self")))
+    rank = F.when(good, F.struct("score", (-F.col("pos")).alias("p")))
+    found = w.join(best.hint("merge"), "wt", "left").groupBy(*key).agg(F.max_by(F.struct("cand", "score"), rank).alias("b"))
     named = F.when(F.col("b.score") >= THRESHOLD, F.col("b.cand"))
-    return wanted.select(*key).join(best, key, "left").select(*key, named.alias("slug"), F.coalesce("b.score", F.lit(0.0)).alias("score"))
+    return found.select(*key, named.alias("slug"), F.coalesce("b.score", F.lit(0.0)).alias("score"))
 
 
 def resolve_principals(parsed: DataFrame, corpus: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from clauseforge.functions import text as X
 from clauseforge.operators import audit, grammar, lineage, resolution, segmentation
 
 
@@ -128,6 +129,37 @@ def test_resolution(spark):
     assert [tuple(r) for r in resolution.text_variants(wanted, docs, texts).collect()] == [("a", "long")]
 
 
+def _shuffled_rows(spark):
+    """Rows written to shuffles so far."""
+    gateway = spark.sparkContext._gateway
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    none = gateway.jvm.java.util.ArrayList()
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_resolution_without_rows_of_pairs(spark, monkeypatch):
+    """Titles of few words: the best of each are those of comparing all with all, and no pair is written to a shuffle."""
+    import random
+
+    rnd, words = random.Random(5), ["cover", "fees", "solvency", "health", "irda", "rules", "act", "2016", "2017", "1999"]
+    titles = [(f"s{i}", i if i != 50 else None, None if i == 9 else " ".join(rnd.sample(words, rnd.randint(0, 6))), "Acts") for i in range(300)]
+    docs = spark.createDataFrame(titles, "slug string, pos int, title string, type string")
+    wanted = docs.select(F.col("slug").alias("doc_id"), "title", F.expr("CASE WHEN pos % 2 = 0 THEN slug END").alias("self"))
+    pairs = wanted.select("doc_id", "self", X.title_tokens(F.col("title")).alias("w")).crossJoin(docs.select("slug", "pos", X.title_tokens(F.col("title")).alias("c")))
+    each = pairs.filter("self IS NULL OR slug <> self").withColumn("score", X.title_score(F.col("w"), F.col("c"))).filter(F.arrays_overlap("w", "c"))
+    best = each.groupBy("doc_id").agg(F.max_by(F.struct("slug", "score"), F.struct("score", -F.col("pos"))).alias("b"))
+    want = {r.doc_id: (r.b.slug if r.b.score >= 0.7 else None, r.b.score) for r in best.collect()}
+    for blocks in ((100_000, 250_000), (40, 70)):
+        monkeypatch.setattr(resolution, "ASKED_PER_BLOCK", blocks[0])
+        monkeypatch.setattr(resolution, "TITLES_PER_BLOCK", blocks[1])
+        before = _shuffled_rows(spark)
+        got = {r.doc_id: (r.slug, r.score) for r in resolution.resolve(wanted, docs, ["doc_id"]).collect()}
+        made = _shuffled_rows(spark) - before
+        assert blocks[0] == 40 or made < 4000, made
+        assert len(got) == 300 and {k: v for k, v in got.items() if v != (None, 0.0)} == want
+
+
 def test_variants_broadcast_no_titles(spark):
     """Small files can hold many titles: whatever size the planner takes them for, none are broadcast."""
     docs = spark.createDataFrame([("a", 0, "Cover Rules", "Rules"), ("b", 1, "Cover Rules with schedules", "Rules")], "slug string, pos int, title string, type string")

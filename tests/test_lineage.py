@@ -228,6 +228,25 @@ def test_texts_of_a_slug_count_as_one(spark):
     assert {p.path: p.events[0].action for p in r.provisions if p.events} == {"cha-I/reg-1/sub-a": "omit", "cha-I/reg-1/sub-b": "omit", "cha-I/reg-2/sub-a": "substitute"}
 
 
+def test_texts_pass_no_shuffle(spark, monkeypatch):
+    """Of many texts only those of amendments and their principals are picked, without a shuffle of all; too many slugs are joined by sorting."""
+    docs = spark.createDataFrame([
+        ("p", 0, "Insurance Regulatory (Cover) Regulations, 2016", "Regulations", "2016-01-01"), ("am", 1, "Insurance Regulatory (Cover) (Amendment) Regulations, 2017", "Regulations", "2017-01-01"),
+    ], "slug string, pos int, title string, type string, dateIssued string")
+    own = [("p", "1. First regulation text"), ("am", "to amend the Insurance Regulatory (Cover) Regulations, 2016\nRegulation 1 shall be omitted")]
+    texts = spark.createDataFrame([*own, *(("other", f"{n}. Some other regulation text") for n in range(2000))], "slug string, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = _shuffled_rows(spark)
+        notes = lineage.build(docs, texts)[1].collect()
+        made = _shuffled_rows(spark) - before
+        assert [n.note[:35] for n in notes] == ["low confidence, not applied: Regula"] and made < 1000, made
+        monkeypatch.setattr(lineage, "SLUGS_BROADCAST", 0)
+        assert lineage.build(docs, texts)[1].collect() == notes
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_lineage_queries_read_every_text(spark, tmp_path):
     from clauseforge.plans import queries
 

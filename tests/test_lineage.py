@@ -228,7 +228,7 @@ def test_texts_of_a_slug_count_as_one(spark):
     assert {p.path: p.events[0].action for p in r.provisions if p.events} == {"cha-I/reg-1/sub-a": "omit", "cha-I/reg-1/sub-b": "omit", "cha-I/reg-2/sub-a": "substitute"}
 
 
-@pytest.mark.parametrize("of", [1, 2], ids=["notes", "stats"])
+@pytest.mark.parametrize("of", [0, 1, 2], ids=["lineages", "notes", "stats"])
 def test_texts_pass_no_shuffle(spark, monkeypatch, of):
     """Of many texts only those of amendments and their principals are picked, without a shuffle of all; too many slugs are joined by sorting."""
     docs = spark.createDataFrame([

@@ -129,6 +129,37 @@ def test_resolution(spark):
     assert [tuple(r) for r in resolution.text_variants(wanted, docs, texts).collect()] == [("a", "long")]
 
 
+def test_needed_words_are_looked_for_once():
+    """Which words a line holds is found once a line, not once a rule; the spans are those of looking rule by rule."""
+
+    class Low(str):
+        asked = 0
+
+        def lower(self):
+            return Low(str.lower(self))
+
+        def __contains__(self, word):
+            Low.asked += 1
+            return str.__contains__(self, word)
+
+    matcher = grammar.Matcher()
+
+    def slowly(body):
+        free, found = [True] * len(body), []
+        for rule, pattern in matcher.rules:
+            for m in pattern.finditer(body) if all(w in body.lower() for w in rule.needs) else ():
+                if all(free[m.start() : m.end()]):
+                    free[m.start() : m.end()] = [False] * (m.end() - m.start())
+                    found.append((rule.name, m.span()))
+        return sorted(found, key=lambda x: x[1][0])
+
+    lines = [c[0] for c in CASES]
+    for body in [*lines, *(f"{a}; {b}" for a in lines for b in lines), ""]:
+        Low.asked = 0
+        assert [(r.name, m.span()) for r, m in matcher.spans(Low(body))] == slowly(body)
+        assert Low.asked <= len({w for r, _ in matcher.rules for w in r.needs})
+
+
 def _shuffled_rows(spark):
     """Rows written to shuffles so far."""
     gateway = spark.sparkContext._gateway
